@@ -18,10 +18,16 @@ from turnstile.operators.joins import aggregate_then_join
 from turnstile.operators.quality import ingest_summary, key_uniqueness, summary_totals
 from turnstile.operators.reshape import pivot_sums, unpivot_numbers
 from turnstile.plans.answers import daily_answers
-from turnstile.plans.orders import order_lines
+from turnstile.plans.orders import order_lines, rows_of_order
 from turnstile.session import shared_folder
 from turnstile.sources.landed import parse_order_documents
-from turnstile.sources.tables import insert_if_absent, read_table, replace_periods, upsert
+from turnstile.sources.tables import (
+    insert_if_absent,
+    read_table,
+    replace_periods,
+    spread_if_few,
+    upsert,
+)
 from turnstile.streaming.ingest import ingest_new_files, parquet_stream
 
 STATUS = {"R": "paid", "A": "transfer_payment", "N": "cancelled"}
@@ -57,7 +63,8 @@ def order_documents(t: Tables) -> DataFrame:
         F.struct(price.cast("string").alias("amount")).alias("payment"),
         F.when(F.col("l_returnflag") != "N", tickets).alias("tickets"),
     )
-    return t.lineitem.select(F.to_json(document).alias("document"), F.col("l_suppkey").alias("event"))
+    lines = spread_if_few(t.lineitem)
+    return lines.select(F.to_json(document).alias("document"), F.col("l_suppkey").alias("event"))
 
 
 def first_status():
@@ -127,8 +134,7 @@ SUMMARY = """
 def supplier_summary(t: Tables) -> DataFrame:
     documents = parse_order_documents(order_documents(t), "document", "event")
     units = t.supplier.select(F.col("s_suppkey").alias("event_id"), F.col("s_name").alias("city"))
-    lines = order_lines(documents).select(F.col("event_id").alias("line_event"))
-    return ingest_summary(units, "event_id", documents, "event_id", lines, "line_event")
+    return ingest_summary(units, "event_id", documents, "event_id", rows_of_order())
 
 
 @check(SUMMARY, "ingest_summary")

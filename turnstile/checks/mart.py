@@ -21,6 +21,7 @@ from turnstile.constants import MART_CHANNELS, RANK_LABELS
 from turnstile.plans.attribution import attributed_checks, attribution_totals
 from turnstile.plans.budgets import prepared_budgets
 from turnstile.plans.weekly import MART_COLUMNS, weekly_mart
+from turnstile.sources.tables import hand_over
 
 CHECKS = """
     SELECT CAST(extract(year FROM s.sale_ts) AS BIGINT) AS year, CAST(extract(week FROM s.sale_ts) AS BIGINT) AS week,
@@ -155,11 +156,14 @@ def mart_sales(t: Tables) -> DataFrame:
 
 @check(MART, "weekly_mart")
 def weekly_mart_of_tables(t: Tables) -> DataFrame:
-    """Order lines as sales, orders as answers, budgets and online sales, nations as cities."""
+    """Order lines as sales, orders as answers, budgets and online sales, nations as cities.
+
+    The summed facts are stored and handed over, as the weekly run does.
+    """
     return weekly_mart(
-        mart_sales(t),
-        prepared_budgets(budgets(t), dates(t)),
-        check_revenue(t),
+        hand_over(mart_sales(t), "sales"),
+        hand_over(prepared_budgets(budgets(t), dates(t)), "budgets"),
+        hand_over(check_revenue(t), "revenue"),
         city_names(t),
         AS_OF,
     )

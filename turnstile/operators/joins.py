@@ -130,15 +130,24 @@ def rows_absent_from(df: DataFrame, target: DataFrame, on: Sequence[str]) -> Dat
 
 
 def spine(
-    members: DataFrame, periods: DataFrame, period: Sequence[str], channels: Sequence[str]
+    members: DataFrame,
+    periods: DataFrame,
+    period: Sequence[str],
+    channels: Sequence[str],
+    spread_by: str | None = None,
 ) -> DataFrame:
     """Every period for every member (city) and every channel.
 
     The periods are distinct calendar periods, so there are at most 53 a year;
     they arrive as one array and are unfolded per member, as is the fixed list
     of channels.  Nothing is cross joined and no row of a fact table moves.
+    The members are spread by a column of theirs before they multiply: windows
+    over that column (and more) then need no further shuffle.
     """
     listed = periods.select(F.struct(*period).alias("p")).distinct()
+    if spread_by is not None:
+        tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        members = members.repartition(tasks, spread_by)
     unfolded = members.withColumn("__p", F.explode(listed.agg(F.collect_list("p")).scalar()))
     return unfolded.select(
         *[F.col(f"__p.{c}").alias(c) for c in period],

@@ -34,12 +34,7 @@ def values_outside(df: DataFrame, column: str, known: Sequence[str], measure: st
 
 
 def ingest_summary(
-    units: DataFrame,
-    unit: str,
-    orders: DataFrame,
-    order_unit: str,
-    lines: DataFrame,
-    line_unit: str,
+    units: DataFrame, unit: str, orders: DataFrame, order_unit: str, rows_of_order: Column
 ) -> DataFrame:
     """Per source unit: landed orders, rows made of them, and a status.
 
@@ -47,19 +42,16 @@ def ingest_summary(
     counts.  A unit of which nothing landed is an ``error``.
     """
     landed = orders.groupBy(F.col(order_unit).alias("__o")).agg(
-        F.count(F.lit(1)).alias("orders_count")
+        F.count(F.lit(1)).alias("orders_count"), F.sum(rows_of_order).alias("tickets_count")
     )
-    made = lines.groupBy(F.col(line_unit).alias("__l")).agg(
-        F.count(F.lit(1)).alias("tickets_count")
-    )
-    counted = (
-        units.join(landed, F.col(unit) == F.col("__o"), "left")
-        .join(made, F.col(unit) == F.col("__l"), "left")
-        .withColumn("status", F.when(F.col("__o").isNull(), "error").otherwise("success"))
-    )
-    for name in ("orders_count", "tickets_count"):
-        counted = counted.withColumn(name, F.coalesce(name, F.lit(0)))
-    return counted.drop("__o", "__l")
+    counted = units.join(landed, F.col(unit) == F.col("__o"), "left")
+    return counted.withColumns(
+        {
+            "status": F.when(F.col("__o").isNull(), "error").otherwise("success"),
+            "orders_count": F.coalesce("orders_count", F.lit(0)),
+            "tickets_count": F.coalesce("tickets_count", F.lit(0)),
+        }
+    ).drop("__o")
 
 
 def summary_totals(summary: DataFrame) -> DataFrame:

@@ -70,19 +70,18 @@ def prepared_budgets(
     """Budgets by year, week, start date, city and survey channel, with totals.
 
     Sheet channels without a survey channel are left out.  Amounts are summed
-    per start date before the calendar is joined.
+    by the landed texts first, so that only distinct ones are parsed and joined
+    to the calendar.
     """
-    per_start = (
-        budgets.select(
-            loose_date("dateFrom").alias("date_from"),
-            "city",
-            decode("channel", channels).alias("channel"),
-            budget_share("budget", "channel", shares).alias("amount"),
-        )
-        .where(F.col("city").isNotNull() & F.col("channel").isNotNull())
-        .groupBy("date_from", "city", "channel")
-        .agg(F.sum("amount").alias("amount"))
+    per_text = budgets.groupBy("dateFrom", "city", "channel").agg(
+        F.sum(budget_share("budget", "channel", shares)).alias("amount")
     )
+    per_start = per_text.select(
+        loose_date("dateFrom").alias("date_from"),
+        "city",
+        decode("channel", channels).alias("channel"),
+        "amount",
+    ).where(F.col("city").isNotNull() & F.col("channel").isNotNull())
     calendar = dates.select(F.to_date("date").alias("__day"), "year", "week")
     dated = per_start.join(calendar, F.col("date_from") == F.col("__day"), "inner")
     return labelled_totals(
@@ -97,11 +96,14 @@ def prepared_budgets_month(
     total: str = TOTAL,
 ) -> DataFrame:
     """The same by year and month; the month is that of the budget's own date."""
-    month = budgets.select(
+    per_text = budgets.groupBy("date", "city", "channel").agg(
+        F.sum(budget_share("budget", "channel", shares)).alias("amount")
+    )
+    month = per_text.select(
         *period_columns(loose_date("date"), "month"),
         "city",
         decode("channel", channels).alias("channel"),
-        budget_share("budget", "channel", shares).alias("amount"),
+        "amount",
     ).where(F.col("city").isNotNull() & F.col("channel").isNotNull() & F.col("year").isNotNull())
     return labelled_totals(
         month, ["year", "month"], ["city", "channel"], {"current_month": "amount"}, total, LEVELS

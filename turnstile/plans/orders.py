@@ -21,6 +21,13 @@ def _money(path: str) -> Column:
     return F.coalesce(F.col(path).cast(MONEY), F.lit(0).cast(MONEY))
 
 
+def rows_of_order() -> Column:
+    """How many rows ``order_lines`` makes of a document."""
+    tickets = F.coalesce(F.size("tickets"), F.lit(0))
+    readable = order_timestamp("created_at").isNotNull()
+    return F.when(readable, F.greatest(tickets, F.lit(1))).otherwise(F.lit(0))
+
+
 def order_lines(documents: DataFrame, fee_statuses=FEE_STATUSES) -> DataFrame:
     """One row per ticket; an order without tickets gives one row without ticket.
 

@@ -47,41 +47,42 @@ def city_members(cities: DataFrame, total: str = TOTAL) -> DataFrame:
     )
 
 
-def mart_spine(
-    sales: DataFrame, cities: DataFrame, as_of: date, channels: Sequence[str], total: str
-) -> DataFrame:
-    """Weeks with sales up to the current one, for every city and channel."""
-    weeks = sales.where(up_to_period(["year", "week"], week_of(as_of))).select("year", "week").distinct()
-    return spine(city_members(cities, total), weeks, ["year", "week"], channels)
+def mart_weeks(sales: DataFrame, as_of: date) -> DataFrame:
+    """Weeks with sales, up to the current one."""
+    return sales.where(up_to_period(["year", "week"], week_of(as_of))).select("year", "week").distinct()
+
+
+def _with_revenue(rows: DataFrame, revenue: DataFrame) -> DataFrame:
+    earned = revenue.select(
+        F.col("year").alias("__ry"), F.col("week").alias("__rw"), F.col("city").alias("__rc"),
+        "total_amount", "offline_tickets", "sr_amount",
+    )
+    same = (F.col("year") == F.col("__ry")) & (F.col("week") == F.col("__rw"))
+    return rows.join(earned, same & (F.col("city_en") == F.col("__rc")), "left").drop(
+        "__ry", "__rw", "__rc"
+    )
 
 
-def with_facts(rows: DataFrame, sales: DataFrame, budgets: DataFrame, revenue: DataFrame) -> DataFrame:
+def with_facts(
+    rows: DataFrame, names: DataFrame, sales: DataFrame, budgets: DataFrame, revenue: DataFrame
+) -> DataFrame:
     """Attributed tickets, budget and city revenue of each row; null where there are none."""
     sold = sales.select(
         F.col("year").alias("__sy"), F.col("week").alias("__sw"), F.col("city").alias("__sc"),
         F.col("value_group").alias("__sg"), "total_tickets", "total_ads_qty",
     )
     spent = budgets_by_week(budgets).withColumnRenamed("city", "__budget_city")
-    names = rows.select("city_ru", "city_en").distinct()
-    earned = revenue.select(
-        F.col("year").alias("__ry"), F.col("week").alias("__rw"), F.col("city").alias("__rc"),
-        "total_amount", "offline_tickets", "sr_amount",
-    )
-    same_week = lambda y, w: (F.col("year") == F.col(y)) & (F.col("week") == F.col(w))
-    joined = rows.join(
-        sold,
-        same_week("__sy", "__sw")
+    sold_here = (
+        (F.col("year") == F.col("__sy"))
+        & (F.col("week") == F.col("__sw"))
         & (F.col("city_en") == F.col("__sc"))
-        & (F.col("channel") == F.col("__sg")),
-        "left",
+        & (F.col("channel") == F.col("__sg"))
     )
+    joined = rows.join(sold, sold_here, "left")
     joined = left_join_either(
         joined, spent, ["year", "week", "channel"], ("city_en", "city_ru"), "__budget_city", names
     )
-    joined = joined.join(
-        earned, same_week("__ry", "__rw") & (F.col("city_en") == F.col("__rc")), "left"
-    )
-    return joined.drop("__sy", "__sw", "__sc", "__sg", "__budget_city", "__ry", "__rw", "__rc")
+    return _with_revenue(joined, revenue).drop("__sy", "__sw", "__sc", "__sg", "__budget_city")
 
 
 def metrics(joined: DataFrame, total: str = TOTAL) -> DataFrame:
@@ -140,40 +141,57 @@ def metrics(joined: DataFrame, total: str = TOTAL) -> DataFrame:
 
 
 def with_history(base: DataFrame) -> DataFrame:
-    """Offsets of one to three weeks and the rolling returns, in one window.
-
-    ``city_revenue_before`` keeps the missing offset that ranking needs.
-    """
+    """Offsets of one to three weeks and the rolling returns, in one window."""
     w = Window.partitionBy("city_ru", "channel").orderBy("year", "week", "city_en")
     lagged = {name: F.coalesce(c, F.lit(0)) for name, c in offsets(w, LAGS).items()}
-    return base.withColumns(
-        {
-            **lagged,
-            "city_revenue_before": F.lag("city_revenue").over(w),
-            "roas_2": rolling_return(w, 2, "channel_tickets", "city_tickets", "city_revenue", "channel_budget"),
-            "roas_4": rolling_return(w, 4, "channel_tickets", "city_tickets", "city_revenue", "channel_budget"),
-        }
-    )
+    measures = ("channel_tickets", "city_tickets", "city_revenue", "channel_budget")
+    returns = {f"roas_{n}": rolling_return(w, n, *measures) for n in (2, 4)}
+    return base.withColumns({**lagged, **returns})
 
 
-def with_ranks(rows: DataFrame, as_of: date, total: str, labels: Sequence[str]) -> DataFrame:
-    """Rank of each city, and of each channel in its city, in the last full week.
+def in_last_full_week(as_of: date) -> Column:
+    year, week = week_of(as_of - timedelta(weeks=1))
+    return (F.col("year") == year) & (F.col("week") == week)
+
 
-    Cities go by the revenue of the week before, channels by their revenue.
+def city_ranks(members: DataFrame, weeks: DataFrame, revenue: DataFrame, as_of: date, total: str) -> DataFrame:
+    """Rank of each city by the revenue it had the week before the last full week.
+
+    A city has the same revenue on every channel, so its weeks are laid out
+    without channels.
     """
-    year, week = week_of(as_of - timedelta(weeks=1))
-    last = rows.where((F.col("year") == year) & (F.col("week") == week))
-    per_city = last.groupBy(F.col("city_ru").alias("__city")).agg(F.max("city_revenue_before").alias("v"))
-    per_channel = last.groupBy(F.col("city_ru").alias("__in"), F.col("channel").alias("__channel")).agg(
-        F.max("channel_revenue").alias("v")
+    rows = _with_revenue(spine(members, weeks, ["year", "week"], [total]), revenue)
+    w = Window.partitionBy("city_ru").orderBy("year", "week", "city_en")
+    before = rows.withColumn("before", F.lag(F.coalesce("total_amount", F.lit(0))).over(w))
+    per_city = before.where(in_last_full_week(as_of)).groupBy("city_ru").agg(F.max("before").alias("v"))
+    return rank_total_first(per_city, "city_ru", "v", total, "city_rank").drop("v")
+
+
+def channel_rank(as_of: date, total: str) -> Column:
+    """Rank of a channel in its city by its revenue in the last full week.
+
+    All rows of a channel carry the same sort key, so their dense rank is the
+    rank among channels; without rows of that week there is none.
+    """
+    last = in_last_full_week(as_of)
+    own = Window.partitionBy("city_ru", "channel")
+    ranked = F.max(F.when(last, F.lit(True))).over(own)
+    w = Window.partitionBy("city_ru").orderBy(
+        total_first("channel", total), F.col("__last_revenue").desc_nulls_first(), F.col("channel")
     )
-    city_ranks = rank_total_first(per_city, "__city", "v", total, "city_rank").drop("v")
-    channel_ranks = rank_total_first(per_channel, "__channel", "v", total, "channel_rank", ["__in"]).drop("v")
-    ranked = rows.join(city_ranks, F.col("city_ru") == F.col("__city"), "left").join(
-        channel_ranks,
-        (F.col("city_ru") == F.col("__in")) & (F.col("channel") == F.col("__channel")),
-        "left",
+    return F.when(ranked, F.dense_rank().over(w)).cast("long")
+
+
+def with_ranks(
+    rows: DataFrame, ranks: DataFrame, as_of: date, total: str, labels: Sequence[str]
+) -> DataFrame:
+    """City and channel ranks on every row, and the names labelled with them."""
+    own = Window.partitionBy("city_ru", "channel")
+    last_revenue = F.max(F.when(in_last_full_week(as_of), F.col("channel_revenue"))).over(own)
+    ranked = rows.withColumn("__last_revenue", last_revenue).withColumn(
+        "channel_rank", channel_rank(as_of, total)
     )
+    ranked = ranked.join(ranks, "city_ru", "left")
 
     def labelled(rank: str, name: str) -> Column:
         return F.concat(rank_label(rank, labels), F.lit(". "), F.col(name))
@@ -221,12 +239,15 @@ def weekly_mart(
     """One row per week, city and channel.
 
     ``sales`` are the attribution totals, ``budgets`` the prepared budgets and
-    ``revenue`` the weekly revenue, all with their total rows.  Facts arrive
-    summed; from the spine on, the work grows with weeks, cities and channels.
+    ``revenue`` the weekly revenue, all with their total rows.  They are used
+    more than once, so hand over stored tables.  Facts arrive summed; the work
+    here grows with weeks, cities and channels, and every city has equally many
+    rows.
     """
-    rows = mart_spine(sales, cities, as_of, channels, total)
-    rows = metrics(with_facts(rows, sales, budgets, revenue), total)
-    rows = with_ranks(with_history(rows), as_of, total, labels)
+    weeks, members = mart_weeks(sales, as_of), city_members(cities, total)
+    rows = spine(members, weeks, ["year", "week"], channels, spread_by="city_ru")
+    rows = with_history(metrics(with_facts(rows, members, sales, budgets, revenue), total))
+    rows = with_ranks(rows, city_ranks(members, weeks, revenue, as_of, total), as_of, total, labels)
     if ordered:
         rows = rows.orderBy(*mart_order(total))
     return rows.select(*MART_COLUMNS)

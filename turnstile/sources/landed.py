@@ -141,9 +141,14 @@ def read_order_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def parse_order_documents(df: DataFrame, text: str, event_id: str) -> DataFrame:
-    """Order documents held as JSON text in a column."""
-    parsed = df.select(F.from_json(text, ORDER_DOCUMENT).alias("d"), F.col(event_id).alias("event_id"))
-    return parsed.select("d.*", "event_id")
+    """Order documents held as JSON text in a column.
+
+    ``inline`` parses a text once.  As a plain projection the parse would be
+    repeated in every filter that the optimizer moves below it.
+    """
+    return df.select(
+        F.col(event_id).alias("event_id"), F.inline(F.array(F.from_json(text, ORDER_DOCUMENT)))
+    )
 
 
 def active_cities(cities: DataFrame) -> DataFrame:

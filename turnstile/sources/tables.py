@@ -6,14 +6,16 @@ giving the same batch twice leaves the same table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from turnstile.operators.windows import latest_version
+from turnstile.session import shared_folder
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -28,6 +30,28 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
         return spark.createDataFrame([], schema)
 
 
+def spread_if_few(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the source has fewer splits than there are cores.
+
+    For row-wise work that costs far more than moving the rows.  A source of
+    many files or row groups keeps its splits and is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def hand_over(df: DataFrame, name: str) -> DataFrame:
+    """Store a result in the cluster's shared folder and go on from the stored table.
+
+    For a result used more than once: it is computed once, its size is known to
+    the planner, and a lost executor costs no recomputation.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
