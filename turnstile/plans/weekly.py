@@ -63,26 +63,38 @@ def _with_revenue(rows: DataFrame, revenue: DataFrame) -> DataFrame:
     )
 
 
-def with_facts(
-    rows: DataFrame, names: DataFrame, sales: DataFrame, budgets: DataFrame, revenue: DataFrame
-) -> DataFrame:
-    """Attributed tickets, budget and city revenue of each row; null where there are none."""
+def _with_sales(rows: DataFrame, sales: DataFrame) -> DataFrame:
     sold = sales.select(
         F.col("year").alias("__sy"), F.col("week").alias("__sw"), F.col("city").alias("__sc"),
         F.col("value_group").alias("__sg"), "total_tickets", "total_ads_qty",
     )
+    same = (F.col("year") == F.col("__sy")) & (F.col("week") == F.col("__sw"))
+    here = (F.col("city_en") == F.col("__sc")) & (F.col("channel") == F.col("__sg"))
+    return rows.join(sold, same & here, "left").drop("__sy", "__sw", "__sc", "__sg")
+
+
+def with_facts(
+    rows: DataFrame, names: DataFrame, sales: DataFrame, budgets: DataFrame, revenue: DataFrame
+) -> DataFrame:
+    """Attributed tickets, budget and city revenue of each row; null where there are none."""
     spent = budgets_by_week(budgets).withColumnRenamed("city", "__budget_city")
-    sold_here = (
-        (F.col("year") == F.col("__sy"))
-        & (F.col("week") == F.col("__sw"))
-        & (F.col("city_en") == F.col("__sc"))
-        & (F.col("channel") == F.col("__sg"))
-    )
-    joined = rows.join(sold, sold_here, "left")
     joined = left_join_either(
-        joined, spent, ["year", "week", "channel"], ("city_en", "city_ru"), "__budget_city", names
+        _with_sales(rows, sales),
+        spent,
+        ["year", "week", "channel"],
+        ("city_en", "city_ru"),
+        "__budget_city",
+        names,
+    )
+    return _with_revenue(joined, revenue).drop("__budget_city")
+
+
+def channel_revenue(total: str) -> Column:
+    """The city's revenue on the total channel, else tickets at the average check."""
+    tickets = F.coalesce("total_tickets", F.lit(0)).cast("double")
+    return F.when(F.col("channel") == total, F.col("total_amount").cast("double")).otherwise(
+        tickets * F.col("sr_amount")
     )
-    return _with_revenue(joined, revenue).drop("__sy", "__sw", "__sc", "__sg", "__budget_city")
 
 
 def metrics(joined: DataFrame, total: str = TOTAL) -> DataFrame:
@@ -108,9 +120,7 @@ def metrics(joined: DataFrame, total: str = TOTAL) -> DataFrame:
     )
     base = base.withColumns(
         {
-            "__revenue": F.when(is_total, F.col("total_amount").cast("double")).otherwise(
-                F.col("__tickets").cast("double") * F.col("sr_amount")
-            ),
+            "__revenue": channel_revenue(total),
             "__sold": F.when(is_total, F.col("offline_tickets")).otherwise(F.col("__tickets")),
             "channel_answers": F.col("__ads"),
             "channel_budget": F.when(is_total, F.col("city_budget")).otherwise(F.col("__budget")),
@@ -167,31 +177,32 @@ def city_ranks(members: DataFrame, weeks: DataFrame, revenue: DataFrame, as_of:
     return rank_total_first(per_city, "city_ru", "v", total, "city_rank").drop("v")
 
 
-def channel_rank(as_of: date, total: str) -> Column:
-    """Rank of a channel in its city by its revenue in the last full week.
+def channel_ranks(
+    members: DataFrame,
+    weeks: DataFrame,
+    sales: DataFrame,
+    revenue: DataFrame,
+    as_of: date,
+    channels: Sequence[str],
+    total: str,
+) -> DataFrame:
+    """Rank of each channel in its city by its revenue in the last full week.
 
-    All rows of a channel carry the same sort key, so their dense rank is the
-    rank among channels; without rows of that week there is none.
+    Laid out for that week alone; the week's facts are picked at the scan.
     """
-    last = in_last_full_week(as_of)
-    own = Window.partitionBy("city_ru", "channel")
-    ranked = F.max(F.when(last, F.lit(True))).over(own)
-    w = Window.partitionBy("city_ru").orderBy(
-        total_first("channel", total), F.col("__last_revenue").desc_nulls_first(), F.col("channel")
-    )
-    return F.when(ranked, F.dense_rank().over(w)).cast("long")
+    last = weeks.where(in_last_full_week(as_of))
+    rows = spine(members, last, ["year", "week"], channels)
+    week_sales, week_revenue = (f.where(in_last_full_week(as_of)) for f in (sales, revenue))
+    rows = _with_revenue(_with_sales(rows, week_sales), week_revenue)
+    per_channel = rows.groupBy("city_ru", "channel").agg(F.max(channel_revenue(total)).alias("v"))
+    return rank_total_first(per_channel, "channel", "v", total, "channel_rank", ["city_ru"]).drop("v")
 
 
 def with_ranks(
-    rows: DataFrame, ranks: DataFrame, as_of: date, total: str, labels: Sequence[str]
+    rows: DataFrame, by_city: DataFrame, by_channel: DataFrame, labels: Sequence[str]
 ) -> DataFrame:
     """City and channel ranks on every row, and the names labelled with them."""
-    own = Window.partitionBy("city_ru", "channel")
-    last_revenue = F.max(F.when(in_last_full_week(as_of), F.col("channel_revenue"))).over(own)
-    ranked = rows.withColumn("__last_revenue", last_revenue).withColumn(
-        "channel_rank", channel_rank(as_of, total)
-    )
-    ranked = ranked.join(ranks, "city_ru", "left")
+    ranked = rows.join(by_city, "city_ru", "left").join(by_channel, ["city_ru", "channel"], "left")
 
     def labelled(rank: str, name: str) -> Column:
         return F.concat(rank_label(rank, labels), F.lit(". "), F.col(name))
@@ -247,7 +258,9 @@ def weekly_mart(
     weeks, members = mart_weeks(sales, as_of), city_members(cities, total)
     rows = spine(members, weeks, ["year", "week"], channels, spread_by="city_ru")
     rows = with_history(metrics(with_facts(rows, members, sales, budgets, revenue), total))
-    rows = with_ranks(rows, city_ranks(members, weeks, revenue, as_of, total), as_of, total, labels)
+    by_city = city_ranks(members, weeks, revenue, as_of, total)
+    by_channel = channel_ranks(members, weeks, sales, revenue, as_of, channels, total)
+    rows = with_ranks(rows, by_city, by_channel, labels)
     if ordered:
         rows = rows.orderBy(*mart_order(total))
     return rows.select(*MART_COLUMNS)
