@@ -68,6 +68,33 @@ def interval_join_left(
     return lefts.join(rights, pairs, "left").drop(*helpers)
 
 
+def to_spelling_pairs(
+    df: DataFrame, names: DataFrame, either: tuple[str, str], key: str
+) -> DataFrame:
+    """Rows with the pair of spellings ``(__a, __b)`` their key stands for.
+
+    A key that spells several pairs gives a row for each, one that spells none
+    gives no row.
+    """
+    a, b = either
+    spelled = (
+        names.select(F.col(a).alias("__a"), F.col(b).alias("__b"))
+        .distinct()
+        .withColumn("__spelling", F.explode(F.array_distinct(F.array("__a", "__b"))))
+    )
+    return df.join(spelled, F.col(key) == F.col("__spelling"), "inner").drop("__spelling")
+
+
+def left_join_pairs(
+    left: DataFrame, known: DataFrame, on: Sequence[str], either: tuple[str, str]
+) -> DataFrame:
+    """Left join on ``on`` and the pair of spellings, all of them equal keys."""
+    right = known.withColumnsRenamed({c: f"__on_{c}" for c in on})
+    same = [F.col(c) == F.col(f"__on_{c}") for c in on]
+    same += [F.col(c).eqNullSafe(F.col(p)) for c, p in zip(either, ("__a", "__b"))]
+    return left.join(right, same, "left").drop("__a", "__b", *[f"__on_{c}" for c in on])
+
+
 def left_join_either(
     left: DataFrame,
     right: DataFrame,
@@ -84,18 +111,8 @@ def left_join_either(
     joined on equal keys only.  An OR inside the join would compare every left
     row of a key with every right row of it.
     """
-    a, b = either
-    pairs = (left if names is None else names).select(a, b).distinct()
-    spelled = (
-        pairs.withColumn("__spelling", F.explode(F.array_distinct(F.array(a, b))))
-        .where(F.col("__spelling").isNotNull())
-        .withColumnsRenamed({a: "__a", b: "__b"})
-    )
-    known = right.join(spelled, F.col(right_key) == F.col("__spelling"), "inner")
-    known = known.withColumnsRenamed({c: f"__on_{c}" for c in on}).drop("__spelling")
-    same = [F.col(c) == F.col(f"__on_{c}") for c in on]
-    same += [F.col(a).eqNullSafe(F.col("__a")), F.col(b).eqNullSafe(F.col("__b"))]
-    return left.join(known, same, "left").drop("__a", "__b", *[f"__on_{c}" for c in on])
+    known = to_spelling_pairs(right, left if names is None else names, either, right_key)
+    return left_join_pairs(left, known, on, either)
 
 
 def aggregate_then_join(

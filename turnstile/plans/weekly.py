@@ -13,7 +13,7 @@ from turnstile.constants import MART_CHANNELS, RANK_LABELS, TOTAL
 from turnstile.functions.labels import rank_label
 from turnstile.functions.numbers import zero_safe_fraction
 from turnstile.functions.times import calendar_year, iso_week
-from turnstile.operators.joins import left_join_either, spine
+from turnstile.operators.joins import left_join_pairs, spine, to_spelling_pairs
 from turnstile.operators.windows import (
     offsets,
     partition_max,
@@ -76,17 +76,19 @@ def _with_sales(rows: DataFrame, sales: DataFrame) -> DataFrame:
 def with_facts(
     rows: DataFrame, names: DataFrame, sales: DataFrame, budgets: DataFrame, revenue: DataFrame
 ) -> DataFrame:
-    """Attributed tickets, budget and city revenue of each row; null where there are none."""
-    spent = budgets_by_week(budgets).withColumnRenamed("city", "__budget_city")
-    joined = left_join_either(
-        _with_sales(rows, sales),
-        spent,
-        ["year", "week", "channel"],
-        ("city_en", "city_ru"),
-        "__budget_city",
-        names,
+    """Attributed tickets, budget and city revenue of each row; null where there are none.
+
+    Budgets under either spelling of a city, and of several start dates, add up
+    before the join, so no row of the spine is doubled.
+    """
+    keys, either = ["year", "week", "channel"], ("city_en", "city_ru")
+    weekly = budgets_by_week(budgets).withColumnRenamed("city", "__budget_city")
+    spent = (
+        to_spelling_pairs(weekly, names, either, "__budget_city")
+        .groupBy(*keys, "__a", "__b")
+        .agg(F.sum("current_week").alias("current_week"))
     )
-    return _with_revenue(joined, revenue).drop("__budget_city")
+    return _with_revenue(left_join_pairs(_with_sales(rows, sales), spent, keys, either), revenue)
 
 
 def channel_revenue(total: str) -> Column:
