@@ -65,6 +65,16 @@ def test_stored_upsert_touches_only_its_partitions(spark, tmp_path, rows_of):
     assert len(set(before.items()) & set(after.items())) == 2
 
 
+def test_partition_without_value_survives(spark, tmp_path, rows_of):
+    path, order = str(tmp_path / "t"), [F.col("v").desc()]
+    for rows in ([(None, 1, 1), ("a", 2, 2)], [(None, 3, 3)], [(None, 1, 4)]):
+        write_upsert(spark, path, SCHEMA, spark.createDataFrame(rows, SCHEMA), ["k"], order, "day")
+    assert rows_of(read_table(spark, path, SCHEMA), "k", "v") == [(1, 4), (2, 2), (3, 3)]
+    for _ in range(2):
+        write_absent(spark, path, SCHEMA, spark.createDataFrame([(None, 1, 9), ("a", 5, 5)], SCHEMA), ["k"], order, "day")
+    assert rows_of(read_table(spark, path, SCHEMA), "k", "v") == [(1, 4), (2, 2), (3, 3), (5, 5)]
+
+
 def test_absent_rows_append_replace(spark, tmp_path, rows_of):
     path = str(tmp_path / "t")
     assert read_table(spark, path, SCHEMA).count() == 0

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnstile.checks.joining import customer_places
+from turnstile.checks.joining import weekly_by
 from turnstile.checks.registry import Tables, check
-from turnstile.checks.views import city_names, ctes, money
+from turnstile.checks.views import answers, city_names, ctes, money
 from turnstile.constants import PIVOT_CHANNELS
 from turnstile.functions.keys import content_key
+from turnstile.functions.labels import decode
 from turnstile.functions.times import period_columns
-from turnstile.operators.joins import aggregate_then_join
 from turnstile.operators.quality import ingest_summary, key_uniqueness, summary_totals
 from turnstile.operators.reshape import pivot_sums, unpivot_numbers
 from turnstile.plans.answers import daily_answers
@@ -217,10 +217,7 @@ FROM (SELECT extract(year FROM o_orderdate) AS year, extract(week FROM o_orderda
 """)
 def unpivot_budget(t: Tables) -> DataFrame:
     """Weekly revenue as a wide sheet, each region in its own number format, and read back."""
-    weekly = aggregate_then_join(
-        t.orders, customer_places(t), "o_custkey", "c_custkey", period_columns("o_orderdate", "week"),
-        ["year", "week", "r_name"], {"revenue": money("o_totalprice")},
-    )
+    weekly = weekly_by(t, "r_name")
     grouped = F.format_number("revenue", 2)
     plain = F.col("revenue").cast("decimal(18,2)").cast("string")
     text = (
@@ -233,8 +230,6 @@ def unpivot_budget(t: Tables) -> DataFrame:
     cells = [F.max(F.when(F.col("r_name") == r, text)).alias(name) for r, name in REGIONS.items()]
     sheet = weekly.groupBy(F.col("year").cast("string"), F.col("week").cast("string")).agg(*cells)
     long = unpivot_numbers(sheet, ["year", "week"], "city_ru", "budget")
-    from turnstile.functions.labels import decode
-
     back = {v: k for k, v in REGIONS.items()}
     return long.select("year", "week", decode("city_ru", back, keep_unknown=True).alias("city"), "budget")
 
@@ -259,8 +254,6 @@ FROM latest LEFT JOIN city_names ON latest.city = city_names.name_ru GROUP BY CA
 )
 def daily_answer_pivot(t: Tables) -> DataFrame:
     """Two loads of every answer; the newest counts; one column per channel."""
-    from turnstile.checks.views import answers
-
     versions = answers(t).withColumn("k", F.explode(F.array(F.lit(0), F.lit(1))))
     versions = versions.select(
         "date",

@@ -36,24 +36,27 @@ from turnstile.plans.weekly import week_of
 AS_OF = date(2001, 6, 15)
 
 
-def customer_places(t: Tables) -> DataFrame:
-    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "c_custkey", "n_name", "r_name"
-    )
-
-
-def weekly_by(t: Tables, place: str) -> DataFrame:
-    """Weekly order revenue and count by nation or region of the customer."""
-    return aggregate_then_join(
+def weekly_by(t: Tables, place: str, *more) -> DataFrame:
+    """Weekly order revenue and count by nation or region of the customer.
+
+    Summed by nation key first; names join the sums.
+    """
+    extra = [c.alias(f"group_{i}") for i, c in enumerate(more)]
+    names = [f"group_{i}" for i in range(len(more))]
+    per_nation = aggregate_then_join(
         t.orders,
-        customer_places(t),
+        t.customer.select("c_custkey", "c_nationkey"),
         "o_custkey",
         "c_custkey",
-        period_columns("o_orderdate", "week"),
-        ["year", "week", place],
+        [*period_columns("o_orderdate", "week"), *extra],
+        ["year", "week", *names, "c_nationkey"],
         {"revenue": money("o_totalprice"), "order_count": F.lit(1)},
     )
+    nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    named = per_nation.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    return named.groupBy("year", "week", *names, place).agg(
+        F.sum("revenue").alias("revenue"), F.sum("order_count").alias("order_count")
+    )
 
 
 WEEKLY = """
@@ -130,14 +133,8 @@ LEFT JOIN facts f ON w.year = f.year AND w.week = f.week AND p.r_name = f.r_name
 """)
 def spine_left_join(t: Tables) -> DataFrame:
     weekly = weekly_by(t, "r_name").select("year", "week", "r_name", F.col("revenue").alias("place_sum"))
-    by_kind = aggregate_then_join(
-        t.orders,
-        customer_places(t),
-        "o_custkey",
-        "c_custkey",
-        [*period_columns("o_orderdate", "week"), F.col("o_orderpriority").alias("channel")],
-        ["year", "week", "r_name", "channel"],
-        {"channel_sum": money("o_totalprice")},
+    by_kind = weekly_by(t, "r_name", F.col("o_orderpriority")).select(
+        "year", "week", "r_name", F.col("group_0").alias("channel"), F.col("revenue").alias("channel_sum")
     )
     places = t.region.select("r_name").distinct()
     places = places.unionByName(t.spark.range(1).select(F.lit(TOTAL).alias("r_name")))

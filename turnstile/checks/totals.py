@@ -17,7 +17,7 @@ from turnstile.checks.views import (
     online,
     open_cities,
 )
-from turnstile.constants import ALL_CITIES, MART_CHANNELS
+from turnstile.constants import ALL_CITIES, BUDGET_CHANNELS, MART_CHANNELS
 from turnstile.functions.labels import decode
 from turnstile.operators.quality import values_outside
 from turnstile.plans.attribution import attributed_checks, attribution_totals
@@ -185,8 +185,6 @@ WHERE channel IS NULL OR channel = 'Телеграм (мессенджер)' GRO
 """)
 def channels_dropped(t: Tables) -> DataFrame:
     """Budgets of channels that the mart has no row for: they count in totals only."""
-    from turnstile.constants import BUDGET_CHANNELS
-
     decoded = budgets(t).withColumn("channel", decode("channel", BUDGET_CHANNELS))
     return values_outside(decoded, "channel", MART_CHANNELS, "budget")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -115,6 +116,21 @@ def left_join_either(
     return left_join_pairs(left, known, on, either)
 
 
+SIZE_UNITS = {"": 1, "b": 1, "k": 2**10, "kb": 2**10, "m": 2**20, "mb": 2**20, "g": 2**30, "gb": 2**30}
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner's size of a frame is within the session's broadcast limit.
+
+    The planner takes sizes from the files; for what it cannot know it assumes
+    far too much, so a frame passes only on a real bound.
+    """
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]*)", limit).groups()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= int(number) * SIZE_UNITS[unit]
+
+
 def aggregate_then_join(
     facts: DataFrame,
     dimension: DataFrame,
@@ -127,18 +143,21 @@ def aggregate_then_join(
 ) -> DataFrame:
     """Sums of a fact table by attributes of a dimension.
 
-    The facts are summed by the join key before the join, so a key that holds a
-    large part of all rows shrinks on the map side and the join moves sums, not
-    rows.  A dimension that lists a key twice counts its sums twice, as joining
-    the rows would.  Whether the dimension is broadcast is left to Spark, which
-    knows its size.
+    A dimension of proven small size is broadcast: the facts then meet it where
+    they are, and one shuffle of sums is left.  For a larger one the facts are
+    summed by the join key first, so a key that holds a large part of all rows
+    shrinks on the map side and the join moves sums, not rows.  A dimension
+    that lists a key twice counts its rows twice either way.
     """
-    key = F.col(fact_key) if isinstance(fact_key, str) else fact_key
-    partial = facts.groupBy(key.alias("__key"), *fact_groups).agg(
-        *[F.sum(c).alias(name) for name, c in sums.items()]
-    )
-    joined = partial.join(dimension, F.col("__key") == F.col(dimension_key), how)
-    return joined.groupBy(*groups).agg(*[F.sum(name).alias(name) for name in sums])
+    key = (F.col(fact_key) if isinstance(fact_key, str) else fact_key).alias("__key")
+    totals = [F.sum(name).alias(name) for name in sums]
+    if fits_broadcast(dimension):
+        rows = facts.select(key, *fact_groups, *[c.alias(name) for name, c in sums.items()])
+        dimension = F.broadcast(dimension)
+    else:
+        rows = facts.groupBy(key, *fact_groups).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    joined = rows.join(dimension, F.col("__key") == F.col(dimension_key), how)
+    return joined.groupBy(*groups).agg(*totals)
 
 
 def rows_absent_from(df: DataFrame, target: DataFrame, on: Sequence[str]) -> DataFrame:

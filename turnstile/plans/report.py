@@ -12,7 +12,7 @@ SOURCES = ("all", "online", "offline")
 SHORT = {"all": "all", "online": "on", "offline": "off"}
 
 
-def last_week(changes: DataFrame, year: int, week: int) -> DataFrame:
+def last_week(changes: DataFrame, year: int | Column, week: int | Column) -> DataFrame:
     """The rows of one week, in the shape the report reads."""
     return changes.where((F.col("year") == year) & (F.col("week") == week)).select(
         "week_range", F.col("city").alias("sklad"), "source", "amount", "change_percent"
@@ -39,26 +39,35 @@ def report_rows(week: DataFrame, all_cities: str = ALL_CITIES) -> DataFrame:
 
 
 def report_lines(rows: DataFrame, all_cities: str = ALL_CITIES) -> DataFrame:
-    """Lines in reading order: heading, all cities, then cities by lower-case name."""
+    """Lines in reading order: heading, all cities, then cities by lower-case name.
+
+    Every row brings the heading along and one copy is kept, so the rows are
+    computed once.
+    """
     is_all = F.col("sklad") == all_cities
 
-    def line(source: str) -> Column:
+    def amount_line(source: str) -> Column:
         change = F.col(f"{source}_change")
         text = spaced_number(f"{source}_amount")
         return F.concat(
             trend_mark(change), F.lit(f" {SHORT[source]}: "), text, F.lit(" ("), signed_percent(change), F.lit(")")
         )
 
-    heading = F.when(is_all, F.concat("sklad", F.lit(":"))).otherwise(F.col("sklad"))
-    block = F.array(heading, *[line(s) for s in SOURCES], F.lit(""))
-    blocks = rows.select(
-        F.when(is_all, F.lit(1)).otherwise(F.lit(2)).alias("block"),
-        F.lower("sklad").alias("city_order"),
-        F.posexplode(block).alias("line", "text"),
-    )
-    title = rows.agg(F.min("week_range").alias("r")).select(
-        F.lit(0).alias("block"),
-        F.lit("").alias("city_order"),
-        F.posexplode(F.array(F.concat(F.lit(REPORT_TITLE), "r"), F.lit(""))).alias("line", "text"),
-    )
-    return title.unionByName(blocks).orderBy("block", "city_order", "line")
+    def line(block: Column, city: Column, number: int, text: Column) -> Column:
+        return F.struct(
+            block.alias("block"),
+            F.lower(city).alias("city_order"),
+            city.alias("city"),
+            F.lit(number).alias("line"),
+            text.alias("text"),
+        )
+
+    none, block, city = F.lit(""), F.when(is_all, F.lit(1)).otherwise(F.lit(2)), F.col("sklad")
+    heading = F.when(is_all, F.concat(city, F.lit(":"))).otherwise(city)
+    texts = [heading, *[amount_line(s) for s in SOURCES], none]
+    title = [F.concat(F.lit(REPORT_TITLE), "week_range"), none]
+    lines = [line(F.lit(0), none, i, t) for i, t in enumerate(title)]
+    lines += [line(block, city, i, t) for i, t in enumerate(texts)]
+    place = ["block", "city_order", "city", "line"]
+    once = rows.select(F.inline(F.array(*lines))).groupBy(*place).agg(F.min("text").alias("text"))
+    return once.orderBy(*place).select("block", "city_order", "line", "text")

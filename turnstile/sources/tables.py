@@ -61,9 +61,13 @@ def replace_table(df: DataFrame, path: str) -> None:
 
 
 def replace_periods(df: DataFrame, path: str, period: Sequence[str]) -> None:
-    """Replace only the periods the frame holds; a rerun does not duplicate them."""
+    """Replace only the periods the frame holds; a rerun does not duplicate them.
+
+    Rows are brought together by period so that folders get few files; a period
+    that holds a large part of all rows is split over several tasks.
+    """
     (
-        df.repartition(*period)
+        df.hint("rebalance", *period)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*period)
@@ -108,14 +112,12 @@ def upsert(
 
 
 def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """The target's partitions that the batch has rows for.
+    """The target's partitions between the batch's first and last, and the one without value.
 
-    The batch's range comes first, as a filter on the partition column that
-    keeps the other folders from being listed and read at all.
+    The range is a filter on the partition column, so other folders are not read.
     """
     lo, hi = (batch.agg(f(partition)).scalar() for f in (F.min, F.max))
-    in_range = target.where(F.col(partition).between(lo, hi))
-    return in_range.join(batch.select(partition).distinct(), partition, "left_semi")
+    return target.where(F.col(partition).between(lo, hi) | F.col(partition).isNull())
 
 
 def write_absent(
@@ -125,10 +127,20 @@ def write_absent(
     batch: DataFrame,
     keys: Sequence[str],
     first: Sequence[Column],
+    partition: str | None = None,
 ) -> None:
-    """Append what the stored table lacks."""
+    """Append what the stored table lacks.
+
+    With a ``partition`` column, which a key must determine, the table is
+    partitioned by it and only the batch's range of partitions is looked at.
+    """
     target = read_table(spark, path, schema)
-    append_table(absent_rows(target, batch, keys, first).select(*schema.names), path)
+    if partition is None:
+        append_table(absent_rows(target, batch, keys, first).select(*schema.names), path)
+        return
+    wanted = hand_over(one_per_key(batch, keys, first).select(*schema.names), "batch")
+    new = wanted.join(_touched(target, wanted, partition).select(*keys), list(keys), "left_anti")
+    append_table(new.select(*schema.names).hint("rebalance", partition), path, [partition])
 
 
 def write_upsert(
@@ -142,14 +154,18 @@ def write_upsert(
 ) -> None:
     """Upsert into a stored table, rewriting only the partitions the batch touches.
 
-    A key must always lie in the same partition.  The merged rows are put into
-    the cluster's checkpoint folder first: the write then reads nothing it
-    replaces, and a lost executor costs no recomputation.
+    A key must always lie in the same partition.  The batch is stored once, one
+    row per key, as it is used several times.  The merged rows go into the
+    cluster's checkpoint folder before they are written: the write then reads
+    nothing it replaces, and a lost executor costs no recomputation.
     """
-    batch = batch.select(*schema.names)
-    target = read_table(spark, path, schema)
-    merged = upsert(_touched(target, batch, partition), batch, keys, newest)
-    replace_periods(merged.select(*schema.names).checkpoint(), path, [partition])
+    wanted = hand_over(one_per_key(batch, keys, newest).select(*schema.names), "batch")
+    target = _touched(read_table(spark, path, schema), wanted, partition)
+    held = wanted.select(F.col(partition).alias("__held")).distinct()
+    touched = target.join(held, F.col(partition).eqNullSafe(F.col("__held")), "left_semi")
+    kept = touched.join(wanted.select(*keys), list(keys), "left_anti")
+    merged = kept.select(*schema.names).unionByName(wanted)
+    replace_periods(merged.checkpoint(), path, [partition])
 
 
 def version_of_load(unique: str) -> list[Column]:

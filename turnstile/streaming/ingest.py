@@ -20,6 +20,7 @@ def ingest_new_files(
     keys: Sequence[str],
     first: Sequence[Column],
     checkpoint: str,
+    partition: str | None = None,
 ) -> StreamingQuery:
     """Take what a streaming file source has not delivered yet and stop.
 
@@ -30,7 +31,7 @@ def ingest_new_files(
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        write_absent(batch.sparkSession, path, schema, shape(batch), keys, first)
+        write_absent(batch.sparkSession, path, schema, shape(batch), keys, first, partition)
 
     return (
         source.writeStream.option("checkpointLocation", checkpoint)
