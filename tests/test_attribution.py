@@ -112,6 +112,21 @@ def test_interval_join_equals_nested_loop(spark, lefts, rights, seconds, salts):
     assert got == sorted(want)
 
 
+def test_a_crowded_instant_is_summed_before_it_is_joined(spark):
+    """A third of all rows in one second of one city: 6 * 10**10 pairs that are never formed."""
+    n, m = 300_000, 200_000
+    hot = lambda i: F.when(i % 3 == 0, F.lit(0)).otherwise(i)
+    time = lambda i: F.lit(DAY.isoformat(" ")).cast("timestamp_ntz") + F.make_dt_interval(secs=hot(i).cast("decimal(18,6)"))
+    city = lambda i, names: F.when(i % 3 == 0, F.lit(names[0])).otherwise(F.lit(names[1]))
+    i = F.col("id")
+    sales = spark.range(n).select(time(i).alias("sale_ts"), F.lit("Билеты").alias("item_category"), F.lit(1).cast("long").alias("qty"), city(i, ("Omsk", "Ufa")).alias("city"))
+    answers = spark.range(m).select(time(i).alias("date"), F.lit("Смс").alias("value"), F.lit(1).cast("long").alias("qty"), city(i, ("Омск", "Уфа")).alias("city"))
+    cities = spark.createDataFrame([("Омск", "Omsk"), ("Уфа", "Ufa")], "name_ru string, name_en string")
+    totals = attribution_totals(attributed_checks(sales, answers, cities)).where("city = 'Omsk' AND value_group = 'Смс'")
+    row = totals.first()
+    assert (row["total_tickets"], row["total_ads_qty"]) == ((n // 3) * -(-m // 3), 1)
+
+
 def test_interval_join_extra_condition(spark, rows_of):
     left = spark.createDataFrame([(1, "a", DAY, "x"), (2, "a", DAY, "y")], "i int, k string, t timestamp_ntz, kind string")
     right = spark.createDataFrame([(7, "a", DAY)], "j int, k2 string, t2 timestamp_ntz")

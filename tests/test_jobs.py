@@ -79,6 +79,12 @@ def test_from_landing_to_report(spark, tmp_path, rows_of):
         )
         counts.append({t: w.read(t).count() for t in tables})
     assert counts[0] == counts[1]
+    for _ in range(2):
+        jobs.load_new_receipts(w, str(tmp_path / "receipts"), LOADED, "followed").awaitTermination()
+    key = ["hash_256", "sale_date", "amount", "sale_day"]
+    assert rows_of(w.read("followed"), *key) == rows_of(w.read("receipts"), *key)
+    assert rows_of(jobs.tills_without_city(w)) == [("Чужая", 1, D("20.00"))]
+    assert jobs.channels_outside_mart(w).count() == 0
     assert counts[0]["receipts"] == 4 and counts[0]["receipts_cancel"] == 1 and counts[0]["weekly_mart"] == 2 * 2 * 31
     assert bad == ["m"] and tuple(unique.first()) == (2, 2, 0, True)
     assert rows_of(summary, "event_id", "orders_count", "tickets_count", "status") == [("77", 1, 1, "success")]

@@ -153,7 +153,7 @@ def test_streaming_ingest_equals_batch(spark, tmp_path, rows_of):
         (landing / name).write_text("\n".join([",".join(heading), *rows]) + "\n", encoding="utf-8")
 
     def shape(batch):
-        return shape_receipts(batch.withColumn("file_name", F.lit("f")), stamp)
+        return shape_receipts(batch, stamp)
 
     def run():
         source = landing_stream(spark, str(landing), landed_text(RECEIPT_HEADINGS), "*.csv")

@@ -21,7 +21,7 @@ from turnstile.constants import MART_CHANNELS, RANK_LABELS
 from turnstile.plans.attribution import attributed_checks, attribution_totals
 from turnstile.plans.budgets import prepared_budgets
 from turnstile.plans.weekly import MART_COLUMNS, weekly_mart
-from turnstile.sources.tables import hand_over
+from turnstile.sources.tables import hand_over_all
 
 CHECKS = """
     SELECT CAST(extract(year FROM s.sale_ts) AS BIGINT) AS year, CAST(extract(week FROM s.sale_ts) AS BIGINT) AS week,
@@ -160,13 +160,14 @@ def weekly_mart_of_tables(t: Tables) -> DataFrame:
 
     The summed facts are stored and handed over, as the weekly run does.
     """
-    return weekly_mart(
-        hand_over(mart_sales(t), "sales"),
-        hand_over(prepared_budgets(budgets(t), dates(t)), "budgets"),
-        hand_over(check_revenue(t), "revenue"),
-        city_names(t),
-        AS_OF,
+    sales, spent, revenue = hand_over_all(
+        {
+            "sales": mart_sales(t),
+            "budgets": prepared_budgets(budgets(t), dates(t)),
+            "revenue": check_revenue(t),
+        }
     )
+    return weekly_mart(sales, spent, revenue, city_names(t), AS_OF)
 
 
 @check(

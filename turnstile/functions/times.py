@@ -49,7 +49,7 @@ def epoch_second(c: Column | str) -> Column:
         days * DAY_SECONDS
         + F.hour(c) * 3600
         + F.minute(c) * 60
-        + F.floor(F.extract(F.lit("SECOND"), c)).cast("long")
+        + F.second(c)
     )
 
 

@@ -11,13 +11,15 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from turnstile import schemas
+from turnstile.constants import MART_CHANNELS, RECEIPT_HEADINGS, TILL_TO_CITY
 from turnstile.functions.times import calendar_year, iso_week
-from turnstile.operators.quality import ingest_summary, key_uniqueness
+from turnstile.operators.quality import ingest_summary, key_uniqueness, values_outside
 from turnstile.plans.answers import daily_answers, new_daily_answers
 from turnstile.plans.attribution import attributed_checks, attribution_totals
 from turnstile.plans.budgets import (
@@ -37,6 +39,7 @@ from turnstile.sources.landed import (
     read_budget_sheets,
     read_order_documents,
     read_receipts,
+    shape_receipts,
 )
 from turnstile.sources.tables import (
     append_table,
@@ -47,6 +50,7 @@ from turnstile.sources.tables import (
     write_absent,
     write_upsert,
 )
+from turnstile.streaming.ingest import ingest_new_files, landing_stream
 
 
 def _with_day(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
@@ -72,15 +76,39 @@ class Warehouse:
         return read_table(self.spark, self.path(table), schema)
 
 
+def _first_receipt() -> list[Column]:
+    """Order of the rows of one key within a batch, where the files give none."""
+    return [F.col(c).asc_nulls_last() for c in ("amount", "qty", "receipt_id", "item", "item_category")]
+
+
+def _with_sale_day(receipts: DataFrame) -> DataFrame:
+    return receipts.withColumn("sale_day", F.to_date("sale_date"))
+
+
 def load_receipts(w: Warehouse, folder: str, loaded_at: datetime, table: str = "receipts") -> None:
     """Landed receipts into a table, first write of a key wins.
 
     The day of sale is part of the key, so the table is partitioned by it.
     """
-    rows = read_receipts(w.spark, folder, loaded_at)
-    rows = rows.withColumn("sale_day", F.to_date("sale_date"))
-    first = [F.col("amount").asc_nulls_last(), F.col("qty").asc_nulls_last(), F.col("receipt_id").asc_nulls_last()]
-    write_absent(w.spark, w.path(table), RECEIPT_TABLE, rows, ["hash_256"], first, "sale_day")
+    rows = _with_sale_day(read_receipts(w.spark, folder, loaded_at))
+    write_absent(w.spark, w.path(table), RECEIPT_TABLE, rows, ["hash_256"], _first_receipt(), "sale_day")
+
+
+def load_new_receipts(
+    w: Warehouse, folder: str, loaded_at: datetime, table: str = "receipts"
+) -> StreamingQuery:
+    """The same for files that no earlier run has seen; progress is kept beside the table."""
+    return ingest_new_files(
+        w.spark,
+        landing_stream(w.spark, folder, schemas.landed_text(RECEIPT_HEADINGS), "*.csv"),
+        lambda batch: _with_sale_day(shape_receipts(batch, loaded_at)),
+        w.path(table),
+        RECEIPT_TABLE,
+        ["hash_256"],
+        _first_receipt(),
+        w.path(f"{table}_progress"),
+        "sale_day",
+    )
 
 
 def load_cancelled_receipts(w: Warehouse, folder: str, loaded_at: datetime) -> None:
@@ -181,6 +209,16 @@ def refresh_weekly_mart(w: Warehouse, as_of: date) -> None:
     replace_table(rows, w.path("weekly_mart"))
 
 
+def tills_without_city(w: Warehouse) -> DataFrame:
+    """Tills of the receipts that belong to no city, with rows and amount."""
+    return values_outside(w.read("receipts", RECEIPT_TABLE), "kkm", list(TILL_TO_CITY), "amount")
+
+
+def channels_outside_mart(w: Warehouse) -> DataFrame:
+    """Channels of the prepared budgets that count in the mart's totals only."""
+    return values_outside(w.read("prepared_budgets"), "channel", MART_CHANNELS, "current_week")
+
+
 def weekly_report(w: Warehouse, as_of: date) -> DataFrame:
     """Lines of the report on the last full week; tills of no city count in the totals only."""
     online = w.read("online_sales", ONLINE_TABLE)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -42,13 +43,17 @@ def ingest_new_files(
 
 
 def landing_stream(spark: SparkSession, folder: str, schema: StructType, glob: str, **options) -> DataFrame:
-    """Stream of a landing folder of CSV files with a heading line."""
+    """Stream of a landing folder of CSV files with a heading line, with the name of each row's file.
+
+    A file is never spread over two micro-batches.
+    """
     return (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("pathGlobFilter", glob)
         .options(**options)
         .csv(folder)
+        .withColumn("file_name", F.col("_metadata.file_name"))
     )
 
 
