@@ -11,7 +11,7 @@ from turnstile.functions.keys import content_key
 from turnstile.operators.quality import ingest_summary, key_uniqueness, summary_totals
 from turnstile.plans.budgets import monthly_budget_rows, prepared_budgets, weekly_budget_rows
 from turnstile.plans.offline import offline_sales
-from turnstile.plans.orders import order_lines, rows_of_order
+from turnstile.plans.orders import order_lines, rows_of_order, unreadable_amounts
 from turnstile.sources.landed import (
     active_cities,
     parse_order_documents,
@@ -19,6 +19,7 @@ from turnstile.sources.landed import (
     read_budget_sheets,
     read_order_documents,
     read_receipts,
+    whole_files_only,
 )
 
 LOADED = datetime(2025, 11, 6, 12, 30)
@@ -43,6 +44,7 @@ def receipts_folder(tmp_path):
         row("13.10.2025 10:00:00", "ККМ (Ростов)", "004", "1.00"),
         row("2025-10-13 10:00:00", "ККМ (Ростов)", "005", "1.00"),
     ])
+    write_csv(tmp_path / "words.csv", RECEIPT_HEADINGS, [row("13.10.2025 10:00:00", "ККМ (Ростов)", "007", "много")])
     write_csv(tmp_path / "notes.txt", RECEIPT_HEADINGS, [row("13.10.2025 10:00:00", "x", "006", "9.00")])
     return str(tmp_path)
 
@@ -62,6 +64,11 @@ def test_receipts(spark, receipts_folder):
     assert first["hash_256"] == key
 
 
+def test_good_rows_are_not_shuffled_to_drop_bad_files(spark, receipts_folder):
+    plan = read_receipts(spark, receipts_folder, LOADED)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_receipts_row_quarantine(spark, receipts_folder):
     got = read_receipts(spark, receipts_folder, LOADED, whole_files=False)
     assert sorted(r["itenm_id"] for r in got.collect()) == ["001", "002", "004"]
@@ -175,6 +182,18 @@ def test_order_lines(documents):
     assert len({r["order_hash"] for rows in by_order.values() for r in rows}) == 5
 
 
+def test_unreadable_amounts(spark):
+    docs = [
+        {"id": 1, "payment": {"amount": "10"}}, {"id": 2, "payment": {"amount": "ten"}}, {"id": 3},
+        {"id": 4, "tickets": [{"price_nominal": "1"}, {"price_nominal": "?"}]},
+        {"id": 5, "tickets": [{"ticket_type": {"price": "-"}}]}, {"id": 6, "tickets": []},
+    ]
+    texts = spark.createDataFrame([(json.dumps(d), str(d["id"] % 2)) for d in docs], "doc string, event string")
+    parsed = parse_order_documents(texts, "doc", "event")
+    assert {r["id"] for r in parsed.where(unreadable_amounts()).collect()} == {"2", "4", "5"}
+    assert whole_files_only(parsed, F.col("id") == "2", "event_id").count() == 3
+
+
 def test_json_text_gives_the_same_lines(spark, documents, rows_of):
     texts = spark.createDataFrame([(json.dumps(o), "77") for o in ORDERS], "doc string, event string")
     columns = [c for c in schemas.ONLINE_SALES.names if c != "status_title"]

@@ -29,6 +29,12 @@ def locale_number(c: Column | str) -> Column:
     return F.when(plain, cleaned).try_cast("double")
 
 
+def unreadable(text: Column | str, kind) -> Column:
+    """There is a text, but it is no value of the type."""
+    text = _col(text)
+    return text.isNotNull() & text.try_cast(kind).isNull()
+
+
 def fraction(numerator: Column | str, divisor: Column | str) -> Column:
     """Quotient as a double; null when the divisor is zero or null."""
     d = _col(divisor).cast("double")

@@ -29,7 +29,7 @@ from turnstile.plans.budgets import (
     weekly_budget_rows,
 )
 from turnstile.plans.offline import offline_sales
-from turnstile.plans.orders import order_lines, rows_of_order
+from turnstile.plans.orders import order_lines, rows_of_order, unreadable_amounts
 from turnstile.plans.report import last_week, report_lines, report_rows
 from turnstile.plans.revenue import revenue_by_source, week_over_week, weekly_revenue
 from turnstile.plans.weekly import weekly_mart
@@ -40,6 +40,7 @@ from turnstile.sources.landed import (
     read_order_documents,
     read_receipts,
     shape_receipts,
+    whole_files_only,
 )
 from turnstile.sources.tables import (
     append_table,
@@ -143,8 +144,14 @@ def load_month_budgets(w: Warehouse, sheets: Mapping[str, str]) -> tuple[DataFra
 
 
 def load_orders(w: Warehouse, folder: str) -> DataFrame:
-    """Order documents into the table of online sales, last load wins; gives the summary."""
-    documents = read_order_documents(w.spark, folder)
+    """Order documents into the table of online sales, last load wins; gives the summary.
+
+    An event with an amount that is no number is left out whole and reported
+    as an ``error``; the others go on.
+    """
+    documents = whole_files_only(
+        read_order_documents(w.spark, folder), unreadable_amounts(), "event_id"
+    )
     lines = order_lines(documents).withColumn("created_day", F.to_date("created_at"))
     newest = [F.col(c).desc_nulls_last() for c in ("status_name", "payment_amount", "price_nominal")]
     write_upsert(

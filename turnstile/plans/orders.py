@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from turnstile.constants import FEE_STATUSES
 from turnstile.functions.keys import order_line_key
-from turnstile.functions.numbers import acquiring_fee, fee_share, service_fee
+from turnstile.functions.numbers import acquiring_fee, fee_share, service_fee, unreadable
 from turnstile.functions.times import order_timestamp
 from turnstile.operators.reshape import explode_keeping_childless
 from turnstile.schemas import MONEY, ONLINE_SALES
@@ -18,7 +18,17 @@ def _text(path: str) -> Column:
 
 
 def _money(path: str) -> Column:
-    return F.coalesce(F.col(path).cast(MONEY), F.lit(0).cast(MONEY))
+    return F.coalesce(F.col(path).try_cast(MONEY), F.lit(0).cast(MONEY))
+
+
+def unreadable_amounts() -> Column:
+    """A document with an amount or price that is no number."""
+    tickets = F.exists(
+        "tickets",
+        lambda t: unreadable(t["price_nominal"], MONEY) | unreadable(t["ticket_type"]["price"], MONEY),
+    )
+    payment = unreadable("payment.amount", MONEY) | unreadable("payment.discount", MONEY)
+    return payment | F.coalesce(tickets, F.lit(False))
 
 
 def rows_of_order() -> Column:
@@ -32,7 +42,9 @@ def order_lines(documents: DataFrame, fee_statuses=FEE_STATUSES) -> DataFrame:
     """One row per ticket; an order without tickets gives one row without ticket.
 
     An order whose time cannot be read is dropped.  Fees are taken of the whole
-    order and divided over its tickets.  Narrow from end to end: no shuffle.
+    order and divided over its tickets.  A missing amount is 0; keep documents
+    with ``unreadable_amounts`` out beforehand.  Narrow from end to end: no
+    shuffle.
     """
     timed = documents.withColumn("__created", order_timestamp("created_at"))
     per_order = timed.where(F.col("__created").isNotNull()).select(

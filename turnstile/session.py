@@ -17,7 +17,8 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.parquet.filterPushdown": "true",
+        # Call sites of every column expression, which large plans pay for on each build.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)
@@ -31,9 +32,11 @@ def shared_folder(spark: SparkSession) -> str:
     set for this session.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if named:
+        if not current:
+            spark.sparkContext.setCheckpointDir(named)
         return named
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     folder = tempfile.mkdtemp(prefix="turnstile-")

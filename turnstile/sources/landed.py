@@ -15,8 +15,10 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from turnstile.constants import ANSWER_HEADINGS, RECEIPT_HEADINGS, SHEET_CHANNEL
 from turnstile.functions.keys import answer_key, receipt_key
+from turnstile.functions.numbers import unreadable
 from turnstile.functions.times import day_first_timestamp, till_timestamp
 from turnstile.schemas import MONEY, ORDER_DOCUMENT, QTY, landed_text
+from turnstile.sources.tables import hand_over
 
 
 def load_stamp(loaded_at: datetime) -> Column:
@@ -29,8 +31,13 @@ def clean_landed(df: DataFrame, headings: Mapping[str, str], required: str) -> D
 
 
 def whole_files_only(df: DataFrame, bad_row: Column, file: str = "file_name") -> DataFrame:
-    """Leave out every row of a file that has a bad row: a file is taken whole or not at all."""
-    bad_files = df.where(bad_row).select(F.col(file)).distinct()
+    """Leave out every row of a file (or other unit) that has a bad row: it is taken whole or not at all.
+
+    The names of the bad files are stored first.  The planner then knows how
+    few they are and leaves the rows where they are; a list too long to
+    broadcast is joined by shuffling.
+    """
+    bad_files = hand_over(df.where(bad_row).select(F.col(file)).distinct(), "bad-files")
     return df.join(bad_files, file, "left_anti")
 
 
@@ -47,18 +54,20 @@ def _landed_csv(spark: SparkSession, folder: str, headings: Mapping[str, str], g
 def shape_receipts(landed: DataFrame, loaded_at: datetime, whole_files: bool = True) -> DataFrame:
     """Landed receipt text to typed, keyed receipts.
 
-    The time has one strict format; a file with a time in another one is left
-    out whole, or only its bad rows with ``whole_files=False``.
+    The time has one strict format.  A file with a time in another one, or with
+    a quantity or amount that is no number, is left out whole, or only its bad
+    rows with ``whole_files=False``.
     """
     rows = clean_landed(landed, RECEIPT_HEADINGS, "Запасы.Сумма")
     rows = rows.withColumnsRenamed({"sale_date": "__time", "file_name": "__file"})
     rows = rows.withColumn("sale_date", till_timestamp("__time"))
     bad = F.col("__time").isNotNull() & F.col("sale_date").isNull()
+    bad = bad | unreadable("qty", QTY) | unreadable("amount", MONEY)
     rows = whole_files_only(rows, bad, "__file") if whole_files else rows.where(~bad)
     rows = rows.withColumns(
         {
-            "qty": F.col("qty").cast(QTY),
-            "amount": F.col("amount").cast(MONEY),
+            "qty": F.col("qty").try_cast(QTY),
+            "amount": F.col("amount").try_cast(MONEY),
             "load_dttm": load_stamp(loaded_at),
             "hash_256": receipt_key(),
         }
@@ -81,12 +90,12 @@ def shape_answers(landed: DataFrame, loaded_at: datetime) -> DataFrame:
     """Landed survey text to typed, keyed answers with the name of their file."""
     rows = clean_landed(landed, ANSWER_HEADINGS, "Период")
     rows = rows.withColumn("__parsed", day_first_timestamp("date"))
-    rows = whole_files_only(rows, F.col("__parsed").isNull())
+    rows = whole_files_only(rows, F.col("__parsed").isNull() | unreadable("qty", "bigint"))
     return rows.withColumn("date", F.col("__parsed")).select(
         answer_key().alias("id"),
         "date",
         "value",
-        F.col("qty").cast("long").alias("qty"),
+        F.col("qty").try_cast("bigint").alias("qty"),
         "city",
         "file_name",
         load_stamp(loaded_at).alias("load_dttm"),
