@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from turnstile.functions.times import epoch_second, plus_seconds
 
@@ -69,6 +70,94 @@ def interval_join_left(
     return lefts.join(rights, pairs, "left").drop(*helpers)
 
 
+def interval_totals_left(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Mapping[str, str],
+    left_ts: str,
+    right_ts: str,
+    seconds: int,
+    group: str,
+    count: str,
+    best: str,
+) -> DataFrame:
+    """What the interval join would sum up per left row and ``group``, without its pairs.
+
+    Gives the left columns with ``group``, ``times`` (sum of ``count``) and
+    ``best`` (maximum of ``best``) of the right rows in the interval; a left row
+    without any has one row of nulls.
+
+    With buckets as wide as the interval, the interval of a left row is the
+    rest of its own bucket and the beginning of the next one.  Right rows go to
+    their own bucket under their time, and to the bucket before under their
+    time less the interval.  There, what a left row matches lies after it among
+    the former and before it among the latter: two running totals.  The work
+    grows with the rows, however many of them meet within one interval, and
+    both sides are shuffled once.  The distinct groups of a bucket (answers on
+    a survey's menu) are gathered per bucket.
+    """
+    if seconds == 0:
+        pairs = interval_join_left(left, right, keys, left_ts, right_ts, 0)
+        return pairs.select(*left.columns, group, F.col(count).alias("times"), F.col(best).alias("best"))
+
+    places = [f"__k{i}" for i in range(len(keys))]
+    own = F.floor(epoch_second(right_ts) / F.lit(seconds))
+    copies = F.array(
+        F.struct(own.alias(BUCKET), F.col(right_ts).alias("__at"), F.lit(True).alias("__own")),
+        F.struct((own - 1).alias(BUCKET), plus_seconds(right_ts, -seconds).alias("__at"), F.lit(False).alias("__own")),
+    )
+    rights = right.dropna(subset=[*keys.values(), right_ts]).select(
+        *[F.col(b).alias(p) for b, p in zip(keys.values(), places)],
+        F.inline(copies),
+        F.col(group).alias("__g"),
+        F.col(count).alias("__n"),
+        F.col(best).alias("__q"),
+    )
+    cannot_match = F.lit(False)
+    for name in (*keys, left_ts):
+        cannot_match = cannot_match | F.col(name).isNull()
+    spread = F.xxhash64(*[F.col(c) for c in left.columns])
+    lefts = left.select(
+        *[F.col(a).alias(p) for a, p in zip(keys, places)],
+        F.when(cannot_match, spread)
+        .otherwise(F.floor(epoch_second(left_ts) / F.lit(seconds)))
+        .alias(BUCKET),
+        F.col(left_ts).alias("__at"),
+        F.struct(*left.columns).alias("__left"),
+        (~cannot_match).alias("__can"),
+    )
+    both = lefts.unionByName(rights, allowMissingColumns=True)
+
+    spot = [*places, BUCKET]
+    is_left = F.col("__left").isNotNull()
+    slot = lambda everything, g: F.struct(F.lit(everything).alias("__all"), g.alias("__group"))
+    nothing = F.lit(None).cast(right.schema[group].dataType)
+    seen = F.collect_set(F.when(~is_left, slot(False, F.col("__g")))).over(Window.partitionBy(*spot))
+    every = F.array(slot(True, nothing))
+    slots = F.when(is_left, F.concat(every, F.col("__seen"))).otherwise(
+        F.concat(every, F.array(slot(False, F.col("__g"))))
+    )
+    rows = both.withColumn("__seen", seen).withColumn("__slot", F.explode(slots)).select(
+        *spot, "__at", "__left", "__can", "__slot.*",
+        *[F.when(F.col("__own"), F.col(c)).alias(f"{c}_own") for c in ("__n", "__q")],
+        *[F.when(~F.col("__own"), F.col(c)).alias(f"{c}_next") for c in ("__n", "__q")],
+    )
+    within = Window.partitionBy(*spot, "__all", "__group")
+    after, before = within.orderBy(F.col("__at").desc()), within.orderBy(F.col("__at").asc())
+    zero = F.lit(0)
+    summed = rows.select(
+        "__left", "__can", "__all", "__group",
+        (F.coalesce(F.sum("__n_own").over(after), zero) + F.coalesce(F.sum("__n_next").over(before), zero)).alias("times"),
+        F.greatest(F.max("__q_own").over(after), F.max("__q_next").over(before)).alias("best"),
+    ).where(is_left)
+    hit = F.col("__can") & (F.col("times") > 0)
+    kept = summed.where(F.when(F.col("__all"), ~hit).otherwise(hit))
+    found = lambda c: F.when(~F.col("__all"), F.col(c))
+    return kept.select(
+        "__left.*", found("__group").alias(group), found("times").alias("times"), found("best").alias("best")
+    )
+
+
 def to_spelling_pairs(
     df: DataFrame, names: DataFrame, either: tuple[str, str], key: str
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from turnstile.constants import ANSWER_WINDOW_SECONDS, NO_ANSWER, TICKET_CATEGORY, TOTAL
 from turnstile.functions.keys import joined_text
 from turnstile.functions.times import period_columns, round_to_second, time_text
-from turnstile.operators.joins import interval_join_left
+from turnstile.operators.joins import interval_totals_left
 from turnstile.operators.totals import labelled_totals
 
 
@@ -32,7 +32,8 @@ def attributed_checks(
     A check is what a city sold in one (rounded) second.  Sales of one instant
     are summed before the join, and so are equal answers of one instant: tickets
     then count once per equal answer, which is what joining the rows gives.
-    However many rows share a city or an instant, the join sees one of each.
+    Of the join only its sums are needed, so no pair of a sale and an answer is
+    formed, however many share a city, an instant or an interval.
     """
     instants = (
         sales.where(F.col("item_category") == category)
@@ -45,19 +46,19 @@ def attributed_checks(
         F.col("city").cast("string").alias("__city"), F.col("date").alias("__date"), F.col("value").alias("__value")
     ).agg(F.count(F.lit(1)).alias("__times"), F.max("qty").alias("__answers"))
 
-    pairs = interval_join_left(
-        local, given, {"__ru": "__city"}, "sale_ts", "__date", seconds
+    matched = interval_totals_left(
+        local, given, {"__ru": "__city"}, "sale_ts", "__date", seconds, "__value", "__times", "__answers"
     )
     return (
-        pairs.groupBy(
+        matched.groupBy(
             *period_columns("sale_ts", period, year_mode),
             F.col("city"),
             F.coalesce("__value", F.lit(no_answer)).alias("value_group"),
             round_to_second("sale_ts").alias("__second"),
         )
         .agg(
-            F.sum(F.col("__qty") * F.coalesce("__times", F.lit(1))).alias("qty_tickets"),
-            F.max("__answers").alias("qty_answers"),
+            F.sum(F.col("__qty") * F.coalesce("times", F.lit(1))).alias("qty_tickets"),
+            F.max("best").alias("qty_answers"),
         )
         .withColumn("check_id", joined_text(time_text("__second"), "city", sep="_"))
         .drop("__second")
