@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 
 from turnstile.checks import QUERIES
 from turnstile.checks.registry import Tables
-from turnstile.operators.joins import interval_join_left
+from turnstile.operators.joins import (
+    aggregate_then_join,
+    fits_broadcast,
+    interval_join_left,
+    interval_totals_left,
+)
 from turnstile.operators.windows import latest_version
 
 FOLDER = "/root/testdata/sf0.001"
@@ -63,6 +68,45 @@ def test_facts_are_summed_before_the_dimension_join(spark):
     assert "ReadSchema: struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
 
 
+def test_dimension_is_broadcast_only_when_its_size_is_known(spark):
+    t = Tables(spark, FOLDER)
+    nations = t.nation.select("n_nationkey", "n_name")
+
+    def build():
+        groups = [F.year("o_orderdate").alias("year")]
+        facts = t.orders.withColumn("k", F.col("o_custkey") % 25)
+        return aggregate_then_join(
+            facts, nations, "k", "n_nationkey", groups, ["year", "n_name"], {"n": F.lit(1)}
+        )
+
+    assert fits_broadcast(nations)
+    small = build()
+    assert "BroadcastHashJoin" in plan_of(small)
+    expected = sorted(tuple(r) for r in small.collect())
+    for limit in ("-1", "1kb"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            assert not fits_broadcast(nations)
+            large = build()
+            plan = plan_of(large)
+            assert "SortMergeJoin" in plan and "HashAggregate" in plan[plan.index("SortMergeJoin") :]
+            assert sorted(tuple(r) for r in large.collect()) == expected
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_interval_totals_shuffle_once_and_join_nothing(spark):
+    t = Tables(spark, FOLDER)
+    left = t.events.select("user_id", "ts")
+    right = t.events.select(
+        F.col("user_id").alias("u2"), F.col("ts").alias("t2"), "event_type", F.lit(1).alias("n"), "value"
+    )
+    plan = plan_of(
+        interval_totals_left(left, right, {"user_id": "u2"}, "ts", "t2", 60, "event_type", "n", "value")
+    )
+    assert plan.count("Exchange ") == 1 and "Join" not in plan
+
+
 def test_interval_join_hashes_on_time(spark):
     t = Tables(spark, FOLDER)
     left = t.events.select("user_id", "ts")

@@ -309,7 +309,7 @@ SELECT o_custkey AS customer, min(o_orderkey) AS first_order FROM orders
 WHERE o_totalprice IS NOT NULL GROUP BY 1
 """)
 def stream_ingest(t: Tables) -> DataFrame:
-    """The order files as a stream into a keyed table: the first order of each customer stays.
+    """The order file, or folder of files, as a stream into a keyed table: a customer's first order stays.
 
     A second run over the same folder finds no new file.
     """
@@ -321,7 +321,7 @@ def stream_ingest(t: Tables) -> DataFrame:
         return kept.select(F.col("o_custkey").alias("customer"), F.col("o_orderkey").alias("first_order"))
 
     for _ in range(2):
-        source = parquet_stream(t.spark, t.folder, ORDERS_SCHEMA, "orders.parquet")
+        source = parquet_stream(t.spark, f"{t.folder}/orders.parquet*", ORDERS_SCHEMA, "*.parquet")
         ingest_new_files(
             t.spark, source, shape, path, schema, ["customer"], [F.col("first_order")], checkpoint
         ).awaitTermination()
