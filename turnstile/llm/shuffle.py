@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm.common import document_columns, query, staged, table, tasks, whole_text
+from turnstile.llm.feistel import on_pairs
 
 ROUNDS = 6
 SHARDS = 40
@@ -54,20 +55,8 @@ def permuted(number: Column, n: int, seed: int, rounds: int = ROUNDS) -> Column:
     a = math.isqrt(n - 1) + 1
     b = -(-n // a)
 
-    def step(pair: Column, r: Column) -> Column:
-        """One round: the left half is shifted by a hash of the right one, or the other way round."""
-        left, right = pair["left"], pair["right"]
-        even = F.pmod(r, F.lit(2)) == 0
-        other = F.when(even, right).otherwise(left)
-        shift = F.xxhash64(other, F.lit(seed), r)
-        moved_left = F.when(even, F.pmod(left + F.pmod(shift, F.lit(a)), F.lit(a))).otherwise(left)
-        moved_right = F.when(even, right).otherwise(F.pmod(right + F.pmod(shift, F.lit(b)), F.lit(b)))
-        return F.struct(moved_left.cast("long").alias("left"), moved_right.cast("long").alias("right"))
-
     def network(x: Column) -> Column:
-        pair = F.struct(F.floor(x / F.lit(b)).cast("long").alias("left"), F.pmod(x, F.lit(b)).cast("long").alias("right"))
-        turns = F.array(*[F.lit(r) for r in range(rounds)])
-        return F.aggregate(turns, pair, step, lambda p: p["left"] * F.lit(b) + p["right"])
+        return on_pairs(x, a, b, rounds, lambda other, r: F.xxhash64(other, F.lit(seed), r))
 
     once = network(number)
     inside = F.lit(n)

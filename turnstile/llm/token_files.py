@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,14 +81,28 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE) -> Itera
             yield batch.slice(start, rows)
 
 
+def squeezed(ids: bytes) -> bytes:
+    """Ids of 4 bytes each, in 2 bytes where all fit (a leading byte tells), compressed."""
+    wide = np.frombuffer(ids, dtype="<u4")
+    small = not len(wide) or wide.max() < 1 << 16
+    return (b"\x02" if small else b"\x04") + zstandard.compress(wide.astype("<u2").tobytes() if small else ids, 1)
+
+
+def unsqueezed(blobs: list[bytes]) -> np.ndarray:
+    if not blobs:
+        return np.zeros(0, dtype="<u4")
+    read = zstandard.ZstdDecompressor().decompress
+    return np.concatenate([np.frombuffer(read(b[1:]), dtype="<u2" if b[0] == 2 else "<u4").astype("<u4") for b in blobs])
+
+
 def tokenized(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id, ids (little-endian, 4 bytes each), n_tokens and crc32 of each whole text."""
+    """doc_id, ids (squeezed), n_tokens and crc32 of each whole text."""
 
     def work(batches):
         for batch in slices(batches):
             ids = list(encode_texts(path, batch.column("text").to_pylist(), end_id))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
+                [batch.column("doc_id"), pa.array(list(map(squeezed, ids)), pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([zlib.crc32(x) for x in ids], pa.int64())],
                 ["doc_id", "ids", "n_tokens", "ids_crc32"],
             )
 
@@ -104,7 +119,7 @@ def ranked_ids(tokens: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in slices(batches, 1024):
-            found = np.bincount(np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype="<u4"))
+            found = np.bincount(unsqueezed(batch.column("ids").to_pylist()))
             if len(found) > len(total):
                 found[: len(total)] += total
                 total = found
@@ -132,7 +147,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, target: str) -> T
         part, first = TaskContext.get().partitionId(), 0
         for batch in slices(batches):
             counts = batch.column("n_tokens").to_numpy()
-            control, data = encode_values(rank[np.frombuffer(b"".join(batch.column("ids").to_pylist()), dtype="<u4")], counts)
+            control, data = encode_values(rank[unsqueezed(batch.column("ids").to_pylist())], counts)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([part] * len(counts), pa.int32()),
@@ -147,7 +162,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, target: str) -> T
             first += int(counts.sum())
 
     ordered = tokens.repartitionByRange(tasks(spark), "doc_id", "ids_crc32", "n_tokens").sortWithinPartitions("doc_id", "ids_crc32", "n_tokens")
-    ordered.select("doc_id", "n_tokens", "ids").mapInArrow(encode, DOCUMENT).write.parquet(f"{target}/documents")
+    ordered.select("doc_id", "n_tokens", "ids").mapInArrow(encode, DOCUMENT).write.option("compression", "zstd").parquet(f"{target}/documents")
     spark.createDataFrame([(r, int(i)) for r, i in enumerate(by_rank.tolist())], "rank int, id long").coalesce(1).write.parquet(f"{target}/ranks")
     return read_token_files(spark, target)
 

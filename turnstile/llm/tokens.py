@@ -123,18 +123,28 @@ class Encoder:
             self.old, self.young = self.young, {}
         cut = [self._cut(text) if text else [] for text in texts]
         ids = [list(map(self.young.get, words)) if words else words for words in cut]
-        missing = {w for words, found in zip(cut, ids, strict=True) if words and None in found for w, x in zip(words, found, strict=True) if x is None}
+        holes = [_holes(found) if found else [] for found in ids]
+        missing = {words[i] for words, own in zip(cut, holes, strict=True) for i in own}
         if missing:
-            again = {w: x for w in missing if (x := self.old.get(w)) is not None}
-            again |= self._ids_of([w for w in missing if w not in again])
-            self.young.update((w, x) for w, x in again.items() if len(w) <= LONGEST_KEPT)
-            ids = [
-                [again[w] if x is None else x for w, x in zip(words, found, strict=True)] if words and None in found else found
-                for words, found in zip(cut, ids, strict=True)
-            ]
+            new = {w: x for w in missing if (x := self.old.get(w)) is not None}
+            new |= self._ids_of([w for w in missing if w not in new])
+            self.young.update((w, x) for w, x in new.items() if len(w) <= LONGEST_KEPT)
+            for words, found, own in zip(cut, ids, holes, strict=True):
+                for i in own:
+                    found[i] = new[words[i]]
         return [self._packed(text) if found is None else b"".join(found) for text, found in zip(texts, ids, strict=True)]
 
 
+def _holes(found: list[bytes | None]) -> list[int]:
+    at, i = [], -1
+    try:
+        while True:
+            i = found.index(None, i + 1)
+            at.append(i)
+    except ValueError:
+        return at
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
