@@ -54,12 +54,9 @@ def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
             raise ValueError("replies form a cycle")
         jumps.append(left.select("node", "jump"))
         above = state.select(F.col("node").alias("jump"), F.col("jump").alias("further"), F.col("total").alias("more"), F.col("nodes").alias("nodes_more"))
-        state = staged(
-            state.join(above, "jump", "left").select(
-                "tree", "node", F.col("further").alias("jump"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("nodes") + F.coalesce("nodes_more", F.lit(0))).alias("nodes")
-            ),
-            "replies",
-        )
+        # Nodes that have reached their root are done; the deeper half of the rest goes on.
+        further = left.join(above, "jump").select("tree", "node", F.col("further").alias("jump"), (F.col("total") + F.col("more")).alias("total"), (F.col("nodes") + F.col("nodes_more")).alias("nodes"))
+        state = staged(further.unionByName(state.where("jump is null").select(*further.columns)), "replies")
     leaves = state.join(first.select(F.col("jump").alias("node")).where("node is not null"), "node", "left_anti")
     by_score = Window.partitionBy("tree").orderBy((F.col("total") / F.col("nodes")).desc(), "node")
     chosen = leaves.withColumn("_rank", F.row_number().over(by_score)).where(F.col("_rank") <= keep)

@@ -17,7 +17,7 @@ of equal items each is reported.  Further columns are ignored.
 from __future__ import annotations
 
 import math
-from typing import NamedTuple
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -151,7 +151,7 @@ class Seeds:
         return sorted(out, key=lambda x: (x[0] is not None, x[0]))
 
 
-_SEEDS: dict[int, Seeds] = {}
+_SEEDS: dict[str, Seeds] = {}
 
 
 def blocks_of(items: DataFrame, id_column: str, block_bytes: int) -> list[list[tuple[int, str]]]:
@@ -162,11 +162,6 @@ def blocks_of(items: DataFrame, id_column: str, block_bytes: int) -> list[list[t
     return [[(r[0], r[1]) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b).collect()] for b in range(blocks)]
 
 
-class Flagged(NamedTuple):
-    per_item: DataFrame
-    kept: DataFrame
-
-
 def leaks(docs: DataFrame, items: DataFrame, shortest: int = SHORTEST_TILE, coverage: float = COVERAGE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, coverage, n_tiles and tiled_words of every pair whose coverage reaches the threshold."""
     out = None
@@ -199,13 +194,13 @@ def without_leaks(docs: DataFrame, items: DataFrame, shortest: int = SHORTEST_TI
 
 
 def _finder(spark: SparkSession, block: list[tuple[int, str]], shortest: int):
-    shared = spark.sparkContext.broadcast(block)
+    shared, name = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
     def find(text: str | None, coverage: float) -> list[tuple[int, float, int, int]]:
-        if shared.id not in _SEEDS:
+        if name not in _SEEDS:
             _SEEDS.clear()
-            _SEEDS[shared.id] = Seeds(shared.value, shortest)
-        return _SEEDS[shared.id].matches(text, coverage)
+            _SEEDS[name] = Seeds(shared.value, shortest)
+        return _SEEDS[name].matches(text, coverage)
 
     return find
 
