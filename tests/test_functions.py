@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from turnstile.operators.reshape import unpivot_numbers
 from turnstile.constants import BUDGET_SHARES, FEE_STATUSES, RANK_LABELS
 from turnstile.functions import keys, labels, numbers, times
 
@@ -154,3 +155,19 @@ def test_labels(apply):
     assert apply(ranks, "bigint", lambda c: labels.rank_label(c, RANK_LABELS)) == [
         "a_0", "a_1", "z_26", "ze_31", "33", None,
     ]
+
+
+def test_unpivoted_numbers_are_made_in_generated_code(spark, tmp_path):
+    """Without the fall-back to interpreted code, on a scan of text columns."""
+    cells = {"w": ["1", "2"], "a": ["1 000,50", "x"], "b": ["", "16,359.43"], "c d": ["7", None]}
+    rows = list(zip(*cells.values(), strict=True))
+    spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in cells)).write.parquet(str(tmp_path / "t"))
+    settings = {"spark.sql.codegen.factoryMode": "CODEGEN_ONLY", "spark.sql.codegen.fallback": "false"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = unpivot_numbers(spark.read.parquet(str(tmp_path / "t")), ["w"], "name", "value").collect()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert sorted(map(tuple, got)) == [("1", "a", 1000.5), ("1", "c d", 7.0), ("2", "b", 16359.43)]

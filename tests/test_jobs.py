@@ -1,6 +1,8 @@
 """The whole way from landing folders to the report, run twice."""
 
+import glob
 import json
+import os
 from datetime import date, datetime
 from decimal import Decimal as D
 
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 
 from turnstile import jobs, schemas
 from turnstile.constants import ANSWER_HEADINGS, RECEIPT_HEADINGS
+from turnstile.session import shared_folder
 from turnstile.sources.tables import replace_table
 
 LOADED = datetime(2025, 10, 20, 6)
@@ -63,7 +66,7 @@ def test_from_landing_to_report(spark, tmp_path, rows_of):
         jobs.load_answers(w, str(tmp_path / "answers"), LOADED)
         unique, bad = jobs.load_week_budgets(w, {"s": str(tmp_path / "sheets" / "s.csv"), "m": str(tmp_path / "sheets" / "m.csv")})
         jobs.load_month_budgets(w, {"m": str(tmp_path / "sheets" / "m.csv")})
-        summary = jobs.load_orders(w, str(tmp_path / "orders"))
+        summary = jobs.load_orders(w, str(tmp_path / "orders"), LOADED)
         jobs.refresh_offline_sales(w)
         jobs.refresh_offline_sales(w, date(2025, 10, 13))
         jobs.refresh_sales(w)
@@ -103,3 +106,73 @@ def test_from_landing_to_report(spark, tmp_path, rows_of):
     assert lines[0] == "Отчет по продажам за W42"
     assert lines[1:5] == ["По всем городам:", "🔴 all: 715 (-28%)", " on: 95 (—)", "🔴 off: 620 (-38%)"]
     assert lines[5:] == ["Omsk", "🔴 all: 695 (-30%)", " on: 95 (—)", "🔴 off: 600 (-40%)"]
+
+
+def order(status, number=1):
+    return {
+        "id": number, "eventSessionId": 2, "created_at": "2025-10-13T10:00:00+0300", "status": {"name": status, "title": "т"},
+        "payment": {"amount": 100}, "tickets": [{"id": 5, "price_nominal": 100, "ticket_type": {"id": 1, "name": "Вход", "price": 100}}],
+    }
+
+
+def land_order(folder, name, when, *lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    os.utime(folder / name, (when, when))
+
+
+def warehouse(spark, tmp_path, events=("77",)):
+    w = jobs.Warehouse(spark, str(tmp_path / "warehouse"))
+    replace_table(spark.createDataFrame([("Омск", "Omsk", e, "т", True) for e in events], schemas.CITIES), w.path("cities"))
+    return w
+
+
+def handed_over(spark):
+    return set(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/*"))
+
+
+def test_newest_order_wins_in_one_folder_and_in_separate_loads(spark, tmp_path):
+    w, before = warehouse(spark, tmp_path), handed_over(spark)
+    status = lambda: [r["status_name"] for r in w.read("online_sales").collect()]
+    both = tmp_path / "both" / "event_id=77"
+    land_order(both, "1.json", 1_760_000_000, json.dumps(order("paid")))
+    jobs.load_orders(w, str(both.parent), LOADED)
+    assert status() == ["paid"]
+    land_order(both, "2.json", 1_760_000_100, json.dumps(order("cancelled")))
+    jobs.load_orders(w, str(both.parent), LOADED)
+    assert status() == ["cancelled"]
+    late = tmp_path / "late" / "event_id=77"
+    land_order(late, "1.json", 1_760_000_050, json.dumps(order("paid")))
+    jobs.load_orders(w, str(late.parent), LOADED)
+    assert status() == ["cancelled"], "an older file that comes late overwrites nothing"
+    assert handed_over(spark) == before, "runs leave no folder"
+
+
+def test_cut_document_makes_its_event_an_error(spark, tmp_path, rows_of):
+    w = warehouse(spark, tmp_path, ("77", "78"))
+    land_order(tmp_path / "o" / "event_id=77", "p.json", 1_760_000_000, json.dumps(order("paid")), json.dumps(order("paid", 2))[:50])
+    land_order(tmp_path / "o" / "event_id=78", "p.json", 1_760_000_000, json.dumps(order("paid", 3)))
+    for _ in range(2):
+        summary = jobs.load_orders(w, str(tmp_path / "o"), LOADED)
+    assert rows_of(summary, "event_id", "orders_count", "status") == [("77", 0, "error"), ("78", 1, "success")]
+    assert [r["order_id"] for r in w.read("online_sales").collect()] == ["3"]
+    reject = w.read("rejects").collect()
+    assert [(r["file_path"].split("/")[-2], r["line"], r["reason"]) for r in reject] == [("event_id=77", json.dumps(order("paid", 2))[:50], "broken document")]
+
+
+def test_files_are_told_apart_by_path_and_rejects_are_kept(spark, tmp_path, rows_of):
+    w, before = warehouse(spark, tmp_path), handed_over(spark)
+    land = tmp_path / "r"
+    csv(land / "load=1" / "x.csv", RECEIPT_HEADINGS, receipt("06.10.2025 14:21:58", 1, "Билеты", 4, "1000.00"))
+    csv(land / "load=2" / "x.csv", RECEIPT_HEADINGS, receipt("06.10.2025 14:21:58", 2, "Билеты", 4, "1.00"), "06.10.2025 14:21:58,half a line")
+    csv(land / "load=3" / "x.csv", list(RECEIPT_HEADINGS)[:-1], "a,b,c,d,e,f,g,h")
+    for _ in range(2):
+        counts = jobs.load_receipts(w, str(land), LOADED)
+    assert [(r["item"], r["amount"]) for r in w.read("receipts").select(F.col("receipt_name").alias("item"), "amount").collect()] == [("Чек 1", D("1000.00"))]
+    assert sorted((r["file_path"].split("/")[-2], r["reason"][:9], r["line_count"]) for r in counts.collect()) == [("load=2", "not as ma", 1), ("load=3", "no column", 1)]
+    assert w.read("rejects").count() == 2
+    jobs.load_new_receipts(w, str(land), LOADED, "followed").awaitTermination()
+    assert w.read("followed").count() == 1 and w.read("rejects").count() == 2
+    csv(land / "load=2" / "y.csv", RECEIPT_HEADINGS, receipt("06.10.2025 14:21:58", 2, "Билеты", 4, "1.00"))
+    jobs.load_new_receipts(w, str(land), LOADED, "followed").awaitTermination()
+    assert w.read("followed").count() == 2, "a corrected file is taken under a new name"

@@ -50,7 +50,7 @@ def receipts_folder(tmp_path):
 
 
 def test_receipts(spark, receipts_folder):
-    got = read_receipts(spark, receipts_folder, LOADED)
+    got = read_receipts(spark, receipts_folder, LOADED).rows
     assert [f.dataType for f in got.schema] == [f.dataType for f in schemas.RECEIPTS]
     rows = {r["itenm_id"]: r for r in got.collect()}
     assert set(rows) == {"001", "002"}, "no amount, bad file and other file types are left out"
@@ -65,17 +65,17 @@ def test_receipts(spark, receipts_folder):
 
 
 def test_good_rows_are_not_shuffled_to_drop_bad_files(spark, receipts_folder):
-    plan = read_receipts(spark, receipts_folder, LOADED)._jdf.queryExecution().executedPlan().toString()
+    plan = read_receipts(spark, receipts_folder, LOADED).rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
 
 
 def test_receipts_row_quarantine(spark, receipts_folder):
-    got = read_receipts(spark, receipts_folder, LOADED, whole_files=False)
+    got = read_receipts(spark, receipts_folder, LOADED, whole_files=False).rows
     assert sorted(r["itenm_id"] for r in got.collect()) == ["001", "002", "004"]
 
 
 def test_offline_sales_of_a_day(spark, receipts_folder):
-    receipts = read_receipts(spark, receipts_folder, LOADED)
+    receipts = read_receipts(spark, receipts_folder, LOADED).rows
     sales = offline_sales(receipts, date(2025, 10, 13))
     assert {(r["item"], r["city"], r["revenue"]) for r in sales.collect()} == {
         ("Вход", "Omsk", Decimal("500.00")), ("Вход", None, Decimal("250.50")),
@@ -88,7 +88,7 @@ def test_answers(spark, tmp_path):
     write_csv(tmp_path / "omsk.csv", ANSWER_HEADINGS, [
         ["05.11.2025 10:00:00", "Смс", "2", "Омск"], ["", "Смс", "1", "Омск"],
     ])
-    got = read_answers(spark, str(tmp_path), LOADED).collect()
+    got = read_answers(spark, str(tmp_path), LOADED).rows.collect()
     assert [(r["date"], r["value"], r["qty"], r["city"], r["file_name"]) for r in got] == [
         (datetime(2025, 11, 5, 10), "Смс", 2, "Омск", "omsk.csv")
     ]
@@ -211,3 +211,27 @@ def test_ingest_summary(spark, documents, rows_of):
         ("77", "Omsk", 5, 5, "success"), ("78", "Ufa", 0, 0, "error"),
     ]
     assert tuple(summary_totals(summary).first()) == (1, 1, 5)
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    cells = dict(zip(RECEIPT_HEADINGS, ["13.10.2025 14:21:58", "ККМ (Ростов)", "q1", "Чек 1", "Билеты", "001", "Вход, взрослый", "2", "1000.00"], strict=True))
+    turned = [*reversed(list(RECEIPT_HEADINGS)), "Ещё"]
+    write_csv(tmp_path / "a.csv", RECEIPT_HEADINGS, [list(cells.values())])
+    write_csv(tmp_path / "b.csv", turned, [[*reversed(list(cells.values())), "x"]])
+    write_csv(tmp_path / "c.csv", [*list(RECEIPT_HEADINGS)[:-1], "Другое"], [list(cells.values())])
+    write_csv(tmp_path / "d.csv", [*RECEIPT_HEADINGS, list(RECEIPT_HEADINGS)[0]], [[*cells.values(), "x"]])
+    (tmp_path / "empty.csv").write_text("", encoding="utf-8")
+    rows, rejects = read_receipts(spark, str(tmp_path), LOADED)
+    got = [(r["qty"], r["amount"], r["item"]) for r in rows.collect()]
+    assert got == [(Decimal("2.000"), Decimal("1000.00"), "Вход, взрослый")] * 2
+    assert sorted((r["file_path"][-5:], r["reason"]) for r in rejects.collect()) == [("c.csv", f"no column {list(RECEIPT_HEADINGS)[-1]}"), ("d.csv", "a column twice")]
+
+
+def test_broken_lines_are_rejected(spark, tmp_path):
+    good = ["13.10.2025 14:21:58", "ККМ (Ростов)", "q1", "Чек 1", "Билеты", "001", "Вход", "2", "1000.00"]
+    write_csv(tmp_path / "a.csv", RECEIPT_HEADINGS, [good, good[:5], [*good, "x"], ["1.1.1", *good[1:]], [*good[:7], "two", "1"]])
+    write_csv(tmp_path / "b.csv", RECEIPT_HEADINGS, [good])
+    rows, rejects = read_receipts(spark, str(tmp_path), LOADED)
+    assert rows.count() == 1
+    assert sorted(r["reason"] for r in rejects.collect()) == ["not as many cells as the heading"] * 2 + ["unreadable number", "unreadable time"]
+    assert read_receipts(spark, str(tmp_path), LOADED, whole_files=False).rows.count() == 2

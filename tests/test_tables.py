@@ -1,4 +1,5 @@
-from datetime import datetime
+from datetime import date, datetime
+from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,9 +9,11 @@ from pyspark.sql import types as T
 
 from turnstile.constants import RECEIPT_HEADINGS
 from turnstile.plans.answers import daily_answers, latest_answers, new_daily_answers
-from turnstile.schemas import RECEIPTS, landed_text
+from turnstile.schemas import RECEIPTS
+from turnstile.session import shared_folder
 from turnstile.sources.landed import shape_receipts
 from turnstile.sources.tables import (
+    _touched,
     append_table,
     hand_over,
     insert_if_absent,
@@ -19,7 +22,6 @@ from turnstile.sources.tables import (
     replace_table,
     spread_if_few,
     upsert,
-    version_of_load,
     write_absent,
     write_upsert,
 )
@@ -131,15 +133,40 @@ def test_daily_answers(spark, rows_of):
         ("2025-11-05", "Omsk", 0, 0), ("2025-11-06", "Omsk", 7, 2), ("2025-11-07", None, 2, 0),
     ]
     target = daily.where("city = 'Omsk' AND day = date'2025-11-06'").select("day", "city")
-    from datetime import date
-
     new = new_daily_answers(daily, target, date(2025, 11, 5))
     assert rows_of(new.select(F.col("day").cast("string"), "city")) == [("2025-11-07", None)]
 
 
-def test_version_order(spark):
-    df = spark.createDataFrame([(1, None), (2, 5), (3, 7)], "id int, load_dttm int")
-    assert [r["id"] for r in df.orderBy(*version_of_load("id")).collect()] == [3, 2, 1]
+def test_failed_replace_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    broken = spark.range(5).select(F.when(F.col("id") > 3, F.raise_error(F.lit("half-way"))).otherwise(F.col("id")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="half-way"):
+        replace_table(broken, path)
+    assert read_table(spark, path).count() == 3
+    replace_table(read_table(spark, path).where("id > 0"), path)
+    assert read_table(spark, path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_late_row_opens_its_own_partitions_only(spark, tmp_path):
+    rows = spark.createDataFrame([(k, k, date(2025, 10, k)) for k in range(1, 29)], "k int, v int, day date")
+    replace_periods(rows, str(tmp_path / "t"), ["day"])
+    batch = spark.createDataFrame([(2, 0, date(2025, 10, 2)), (27, 0, date(2025, 10, 27))], rows.schema)
+    touched = _touched(read_table(spark, str(tmp_path / "t"), rows.schema), batch, "day")
+    assert len(touched.inputFiles()) == 28 and touched.count() == 2
+    assert "PartitionFilters: [day#" in touched._jdf.queryExecution().executedPlan().toString().replace("\n", " ")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("day=*/*.parquet")}
+    write_upsert(spark, str(tmp_path / "t"), rows.schema, batch, ["k"], [F.col("v")], "day")
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("day=*/*.parquet")}
+    assert len(set(before) & set(after)) == 26
+    assert read_table(spark, str(tmp_path / "t")).agg(F.sum("v")).first()[0] == sum(range(1, 29)) - 29
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
 
 
 def test_streaming_ingest_equals_batch(spark, tmp_path, rows_of):
@@ -156,7 +183,7 @@ def test_streaming_ingest_equals_batch(spark, tmp_path, rows_of):
         return shape_receipts(batch, stamp)
 
     def run():
-        source = landing_stream(spark, str(landing), landed_text(RECEIPT_HEADINGS), "*.csv")
+        source = landing_stream(spark, str(landing), "*.csv")
         ingest_new_files(
             spark, source, shape, path, RECEIPTS, ["hash_256"], [F.col("amount")], progress
         ).awaitTermination()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from turnstile import schemas
-from turnstile.constants import MART_CHANNELS, RECEIPT_HEADINGS, TILL_TO_CITY
+from turnstile.constants import MART_CHANNELS, TILL_TO_CITY
 from turnstile.functions.times import calendar_year, iso_week
 from turnstile.operators.quality import ingest_summary, key_uniqueness, values_outside
 from turnstile.plans.answers import daily_answers, new_daily_answers
@@ -34,7 +34,9 @@ from turnstile.plans.report import last_week, report_lines, report_rows
 from turnstile.plans.revenue import revenue_by_source, week_over_week, weekly_revenue
 from turnstile.plans.weekly import weekly_mart
 from turnstile.sources.landed import (
+    Landing,
     active_cities,
+    load_stamp,
     read_answers,
     read_budget_sheets,
     read_order_documents,
@@ -45,6 +47,7 @@ from turnstile.sources.landed import (
 from turnstile.sources.tables import (
     append_table,
     hand_over,
+    handed_over_within,
     read_table,
     replace_periods,
     replace_table,
@@ -60,7 +63,7 @@ def _with_day(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType
 
 RECEIPT_TABLE = _with_day(schemas.RECEIPTS, "sale_day", T.DateType())
 ANSWER_TABLE = _with_day(schemas.ANSWERS, "answer_day", T.DateType())
-ONLINE_TABLE = _with_day(schemas.ONLINE_SALES, "created_day", T.DateType())
+ONLINE_TABLE = _with_day(_with_day(schemas.ONLINE_SALES, "landed_at", T.TimestampType()), "created_day", T.DateType())
 
 
 @dataclass(frozen=True)
@@ -86,43 +89,83 @@ def _with_sale_day(receipts: DataFrame) -> DataFrame:
     return receipts.withColumn("sale_day", F.to_date("sale_date"))
 
 
-def load_receipts(w: Warehouse, folder: str, loaded_at: datetime, table: str = "receipts") -> None:
-    """Landed receipts into a table, first write of a key wins.
+def _cleans_up(run):
+    """What a run hands over to itself is deleted when it ends, also by a failure."""
+
+    @wraps(run)
+    def cleaning(w: Warehouse, *args, **kwargs):
+        with handed_over_within(w.spark):
+            return run(w, *args, **kwargs)
+
+    return cleaning
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """A short report (one row per unit, file or reason) computed now."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def _keep_rejects(w: Warehouse, rejects: DataFrame, loaded_at: datetime) -> DataFrame:
+    """Store what was not taken, each line once; gives the number per file and reason."""
+    rows = rejects.withColumn("loaded_at", load_stamp(loaded_at)).select(*schemas.REJECTS.names)
+    rows = rows.withColumn("line", F.coalesce("line", F.lit("")))
+    write_absent(w.spark, w.path("rejects"), schemas.REJECTS, rows, ["file_path", "line", "reason"], [F.col("loaded_at")])
+    return _settled(rejects.groupBy("file_path", "reason").agg(F.count(F.lit(1)).alias("line_count")))
+
+
+@_cleans_up
+def load_receipts(w: Warehouse, folder: str, loaded_at: datetime, table: str = "receipts") -> DataFrame:
+    """Landed receipts into a table, first write of a key wins; gives the rejected lines per file and reason.
 
     The day of sale is part of the key, so the table is partitioned by it.
     """
-    rows = _with_sale_day(read_receipts(w.spark, folder, loaded_at))
-    write_absent(w.spark, w.path(table), RECEIPT_TABLE, rows, ["hash_256"], _first_receipt(), "sale_day")
+    rows, rejects = read_receipts(w.spark, folder, loaded_at)
+    write_absent(w.spark, w.path(table), RECEIPT_TABLE, _with_sale_day(rows), ["hash_256"], _first_receipt(), "sale_day")
+    return _keep_rejects(w, rejects, loaded_at)
 
 
 def load_new_receipts(
     w: Warehouse, folder: str, loaded_at: datetime, table: str = "receipts"
 ) -> StreamingQuery:
-    """The same for files that no earlier run has seen; progress is kept beside the table."""
+    """The same for files that no earlier run has seen; progress is kept beside the table.
+
+    Rejected lines are in the table of rejects.  A corrected file is landed
+    under a new name, or its folder is given to ``load_receipts``.
+    """
+
+    def shape(lines: DataFrame) -> Landing:
+        rows, rejects = shape_receipts(lines, loaded_at)
+        return Landing(_with_sale_day(rows), rejects)
+
     return ingest_new_files(
         w.spark,
-        landing_stream(w.spark, folder, schemas.landed_text(RECEIPT_HEADINGS), "*.csv"),
-        lambda batch: _with_sale_day(shape_receipts(batch, loaded_at)),
+        landing_stream(w.spark, folder, "*.csv"),
+        shape,
         w.path(table),
         RECEIPT_TABLE,
         ["hash_256"],
         _first_receipt(),
         w.path(f"{table}_progress"),
         "sale_day",
+        lambda rejects: _keep_rejects(w, rejects, loaded_at),
     )
 
 
-def load_cancelled_receipts(w: Warehouse, folder: str, loaded_at: datetime) -> None:
-    load_receipts(w, folder, loaded_at, "receipts_cancel")
+def load_cancelled_receipts(w: Warehouse, folder: str, loaded_at: datetime) -> DataFrame:
+    return load_receipts(w, folder, loaded_at, "receipts_cancel")
 
 
-def load_answers(w: Warehouse, folder: str, loaded_at: datetime) -> None:
-    """Landed survey answers into a table, first write of a key wins."""
-    rows = read_answers(w.spark, folder, loaded_at).withColumn("answer_day", F.to_date("date"))
+@_cleans_up
+def load_answers(w: Warehouse, folder: str, loaded_at: datetime) -> DataFrame:
+    """Landed survey answers into a table, first write of a key wins; gives the rejected lines per file and reason."""
+    rows, rejects = read_answers(w.spark, folder, loaded_at)
+    rows = rows.withColumn("answer_day", F.to_date("date"))
     first = [F.col("file_name"), F.col("qty").desc_nulls_last()]
     write_absent(w.spark, w.path("answers"), ANSWER_TABLE, rows, ["id"], first, "answer_day")
+    return _keep_rejects(w, rejects, loaded_at)
 
 
+@_cleans_up
 def _load_budgets(w, sheets, required, shape, table, schema) -> tuple[DataFrame, list[str]]:
     good, bad = read_budget_sheets(w.spark, sheets, required)
     frames = [shape(sheet) for sheet in good]
@@ -131,7 +174,7 @@ def _load_budgets(w, sheets, required, shape, table, schema) -> tuple[DataFrame,
     # A key holds channel, city and date, so its channel is its partition.
     newest = [F.col("budget").desc(), *[F.col(c) for c in schema.names if c not in ("id", "budget")]]
     write_upsert(w.spark, w.path(table), schema, rows, ["id"], newest, "channel")
-    return key_uniqueness(rows, "id"), bad
+    return _settled(key_uniqueness(rows, "id")), bad
 
 
 def load_week_budgets(w: Warehouse, sheets: Mapping[str, str]) -> tuple[DataFrame, list[str]]:
@@ -143,22 +186,26 @@ def load_month_budgets(w: Warehouse, sheets: Mapping[str, str]) -> tuple[DataFra
     return _load_budgets(w, sheets, "month", monthly_budget_rows, "budgets_month", schemas.BUDGETS_MONTH)
 
 
-def load_orders(w: Warehouse, folder: str) -> DataFrame:
-    """Order documents into the table of online sales, last load wins; gives the summary.
+@_cleans_up
+def load_orders(w: Warehouse, folder: str, loaded_at: datetime) -> DataFrame:
+    """Order documents into the table of online sales, the newest file's state wins; gives the summary.
 
-    An event with an amount that is no number is left out whole and reported
-    as an ``error``; the others go on.
+    An event with a broken document, or with an amount that is no number, is
+    left out whole and reported as an ``error``; the others go on.  The files
+    are parsed once.
     """
-    documents = whole_files_only(
-        read_order_documents(w.spark, folder), unreadable_amounts(), "event_id"
-    )
-    lines = order_lines(documents).withColumn("created_day", F.to_date("created_at"))
-    newest = [F.col(c).desc_nulls_last() for c in ("status_name", "payment_amount", "price_nominal")]
+    documents = hand_over(read_order_documents(w.spark, folder), "documents")
+    reason = F.when(F.col("broken").isNotNull(), "broken document").when(unreadable_amounts(), "unreadable number")
+    faults = documents.withColumn("reason", reason).where("reason is not null")
+    documents = whole_files_only(documents, F.col("broken").isNotNull() | unreadable_amounts(), "event_id")
+    lines = order_lines(documents, keep=["landed_at"]).withColumn("created_day", F.to_date("created_at"))
+    newest = [F.col(c).desc_nulls_last() for c in ("landed_at", "status_name", "payment_amount", "price_nominal")]
     write_upsert(
-        w.spark, w.path("online_sales"), ONLINE_TABLE, lines, ["order_hash"], newest, "created_day"
+        w.spark, w.path("online_sales"), ONLINE_TABLE, lines, ["order_hash"], newest, "created_day", "landed_at"
     )
+    _keep_rejects(w, faults.select("file_path", F.coalesce("broken", F.to_json(F.struct("id", "payment", "tickets"))).alias("line"), "reason"), loaded_at)
     units = active_cities(w.read("cities", schemas.CITIES))
-    return ingest_summary(units, "event_id", documents, "event_id", rows_of_order())
+    return _settled(ingest_summary(units, "event_id", documents, "event_id", rows_of_order()))
 
 
 def refresh_offline_sales(w: Warehouse, day: date | None = None) -> None:

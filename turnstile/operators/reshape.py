@@ -17,13 +17,12 @@ def unpivot_numbers(
 
     Empty cells and cells that do not read as a number are left out.
     """
-    ids = [c for c in df.columns if c in service_columns]
+    ids = [F.col(f"`{c}`") for c in df.columns if c in service_columns]
     cells = [c for c in df.columns if c not in service_columns]
-    quoted = lambda names: [F.col(f"`{c}`") for c in names]
-    long = df.unpivot(quoted(ids), quoted(cells), name, "__cell")
-    return (
-        long.withColumn(value, locale_number("__cell")).where(F.col(value).isNotNull()).drop("__cell")
-    )
+    if not cells:
+        return df.select(*ids, F.lit("").alias(name), F.lit(0.0).alias(value)).limit(0)
+    rows = F.array(*[F.struct(F.lit(c).alias(name), locale_number(F.col(f"`{c}`").cast("string")).alias(value)) for c in cells])
+    return df.select(*ids, F.inline(rows)).where(F.col(f"`{value}`").isNotNull())
 
 
 def pivot_sums(

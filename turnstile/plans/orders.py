@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,13 +40,13 @@ def rows_of_order() -> Column:
     return F.when(readable, F.greatest(tickets, F.lit(1))).otherwise(F.lit(0))
 
 
-def order_lines(documents: DataFrame, fee_statuses=FEE_STATUSES) -> DataFrame:
+def order_lines(documents: DataFrame, fee_statuses=FEE_STATUSES, keep: Sequence[str] = ()) -> DataFrame:
     """One row per ticket; an order without tickets gives one row without ticket.
 
     An order whose time cannot be read is dropped.  Fees are taken of the whole
     order and divided over its tickets.  A missing amount is 0; keep documents
-    with ``unreadable_amounts`` out beforehand.  Narrow from end to end: no
-    shuffle.
+    with ``unreadable_amounts`` out beforehand.  ``keep`` names further columns
+    of the documents to hand on.  Narrow from end to end: no shuffle.
     """
     timed = documents.withColumn("__created", order_timestamp("created_at"))
     per_order = timed.where(F.col("__created").isNotNull()).select(
@@ -58,6 +60,7 @@ def order_lines(documents: DataFrame, fee_statuses=FEE_STATUSES) -> DataFrame:
         _money("payment.discount").alias("payment_discount"),
         F.coalesce(F.size("tickets"), F.lit(0)).alias("__parts"),
         "tickets",
+        *keep,
     )
     with_fees = per_order.withColumns(
         {
@@ -76,4 +79,4 @@ def order_lines(documents: DataFrame, fee_statuses=FEE_STATUSES) -> DataFrame:
             "timepad_commission": fee_share("__service", "__parts"),
             "acquiring_commission": fee_share("__acquiring", "__parts"),
         }
-    ).select(order_line_key().alias("order_hash"), *ONLINE_SALES.names[1:])
+    ).select(order_line_key().alias("order_hash"), *ONLINE_SALES.names[1:], *keep)

@@ -17,17 +17,10 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields.items()])
 
 
-def _text_fields(names) -> T.StructType:
-    return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
-
-
 S, TS, L, D, B = T.StringType(), T.TimestampNTZType(), T.LongType(), T.DateType(), T.BooleanType()
 
 
-def landed_text(headings) -> T.StructType:
-    """Every landed column as text, in file order: parsing is a later, visible step."""
-    return _text_fields(headings)
-
+REJECTS = _struct(file_path=S, line=S, reason=S, loaded_at=TS)
 
 RECEIPTS = _struct(
     hash_256=S, sale_date=TS, kkm=S, receipt_id=S, receipt_name=S, item_category=S,

@@ -28,8 +28,9 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and handed-over tables: ``spark.checkpoint.dir``.
 
-    Where the cluster names none (tests, one machine), a fresh local folder is
-    set for this session.
+    Where none is named and all tasks run in this process (tests, one machine),
+    a fresh local folder is set for this session.  On a cluster executors would
+    not share such a folder, so a missing setting raises.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
@@ -39,6 +40,9 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if current:
         return current
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
     folder = tempfile.mkdtemp(prefix="turnstile-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import datetime
+from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -17,7 +19,7 @@ from turnstile.constants import ANSWER_HEADINGS, RECEIPT_HEADINGS, SHEET_CHANNEL
 from turnstile.functions.keys import answer_key, receipt_key
 from turnstile.functions.numbers import unreadable
 from turnstile.functions.times import day_first_timestamp, till_timestamp
-from turnstile.schemas import MONEY, ORDER_DOCUMENT, QTY, landed_text
+from turnstile.schemas import MONEY, ORDER_DOCUMENT, QTY
 from turnstile.sources.tables import hand_over
 
 
@@ -41,29 +43,93 @@ def whole_files_only(df: DataFrame, bad_row: Column, file: str = "file_name") ->
     return df.join(bad_files, file, "left_anti")
 
 
-def _landed_csv(spark: SparkSession, folder: str, headings: Mapping[str, str], glob: str) -> DataFrame:
-    return (
-        spark.read.schema(landed_text(headings))
-        .option("header", True)
-        .option("pathGlobFilter", glob)
-        .csv(folder)
-        .withColumn("file_name", F.col("_metadata.file_name"))
+class Landing(NamedTuple):
+    """Rows that were taken, and what was not: one row per bad line or heading."""
+
+    rows: DataFrame
+    rejects: DataFrame  # file_path, line, reason
+
+
+def landed_lines(spark: SparkSession, folder: str, glob: str) -> DataFrame:
+    return lines_with_place(spark.read.option("pathGlobFilter", glob).text(folder))
+
+
+def lines_with_place(lines: DataFrame) -> DataFrame:
+    """Lines of text files with the full path, the name and the place of their file's part."""
+    return lines.select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_block_start").alias("file_start"),
     )
 
 
-def shape_receipts(landed: DataFrame, loaded_at: datetime, whole_files: bool = True) -> DataFrame:
-    """Landed receipt text to typed, keyed receipts.
+def _cells(line: str, n: int) -> Column:
+    """An array of one struct, for ``inline``: the n cells of a line, and whether it has another number."""
+    fields = ", ".join([*[f"c{i} string" for i in range(n)], "__bad string"])
+    own = F.array(F.from_csv(line, fields, {"columnNameOfCorruptRecord": "__bad"}))
+    return F.transform(own, lambda p: F.struct(F.array(*[p[f"c{i}"] for i in range(n)]).alias("__cells"), p["__bad"].isNotNull().alias("bad")))
+
 
-    The time has one strict format.  A file with a time in another one, or with
-    a quantity or amount that is no number, is left out whole, or only its bad
-    rows with ``whole_files=False``.
+def by_heading(lines: DataFrame, headings: Mapping[str, str]) -> Landing:
+    """Lines of CSV files with their cells under the wanted landed columns, found by each file's own heading.
+
+    The order of columns and further columns do not matter.  A file that lacks a
+    wanted column, or has one twice, is rejected as a whole.  A line that does
+    not have as many cells as its heading has ``bad`` set.  The headings are
+    stored first, one row a file; the lines stay where they are.
+    """
+    placed = lines.where("file_start = 0").withColumn("__at", F.monotonically_increasing_id())
+    first = placed.groupBy("file_path").agg(F.min_by("line", "__at").alias("__heading"))
+    cells = F.split(F.regexp_replace("__heading", "^\ufeff", ""), ",")
+    first = first.withColumn("__names", F.transform(cells, lambda c: F.regexp_replace(F.trim(c), '^"|"$', "")))
+    missing = F.array_except(F.array(*[F.lit(h) for h in headings]), "__names")
+    reason = F.when(F.size(missing) > 0, F.concat(F.lit("no column "), F.array_join(missing, ", ")))
+    reason = reason.when(F.size("__names") != F.size(F.array_distinct("__names")), F.lit("a column twice"))
+    first = hand_over(first.withColumn("__reason", reason), "headings")
+    rejects = first.where("__reason is not null").select("file_path", F.col("__heading").alias("line"), F.col("__reason").alias("reason"))
+    # As many distinct widths as kinds of files, not as files.
+    widths = sorted(r[0] for r in first.where("__reason is null").select(F.size("__names")).distinct().collect())
+    parsed = F.array(F.struct(F.array().cast("array<string>").alias("__cells"), F.lit(True).alias("bad")))
+    for n in widths:
+        parsed = F.when(F.size("__names") == n, _cells("line", n)).otherwise(parsed)
+    rows = lines.join(first.where("__reason is null"), "file_path").where((F.col("line") != F.col("__heading")) & (F.trim("line") != ""))
+    rows = rows.select("file_path", "file_name", "line", "__names", F.inline(parsed))
+    found = [F.try_element_at("__cells", F.array_position("__names", F.lit(h)).cast("int")).alias(h) for h in headings]
+    return Landing(rows.select(*found, "file_path", "file_name", "line", "bad"), rejects)
+
+
+def _without(landing: Landing, reason: Column, whole_files: bool) -> Landing:
+    """Set the rows with a reason aside; with ``whole_files`` every other row of their files is left out too."""
+    judged = landing.rows.withColumn("__reason", reason)
+    faults = hand_over(judged.where("__reason is not null").select("file_path", "line", F.col("__reason").alias("reason")), "rejects")
+    rows = judged.where("__reason is null").drop("__reason")
+    if whole_files:
+        rows = rows.join(faults.select("file_path"), "file_path", "left_anti")
+    return Landing(rows, landing.rejects.unionByName(faults))
+
+
+def _line_fault() -> Column:
+    return F.when(F.col("bad"), "not as many cells as the heading")
+
+
+def shape_receipts(lines: DataFrame, loaded_at: datetime, whole_files: bool = True) -> Landing:
+    """Landed receipt lines to typed, keyed receipts.
+
+    The time has one strict format.  A file with a broken line, with a time in
+    another format, or with a quantity or amount that is no number, is left out
+    whole, or only its bad rows with ``whole_files=False``; the rejects tell.
     """
-    rows = clean_landed(landed, RECEIPT_HEADINGS, "Запасы.Сумма")
-    rows = rows.withColumnsRenamed({"sale_date": "__time", "file_name": "__file"})
+    landed, rejects = by_heading(lines, RECEIPT_HEADINGS)
+    rows = landed.where(F.col("`Запасы.Сумма`").isNotNull() | F.col("bad")).withColumnsRenamed(dict(RECEIPT_HEADINGS))
+    rows = rows.withColumnsRenamed({"sale_date": "__time"})
     rows = rows.withColumn("sale_date", till_timestamp("__time"))
-    bad = F.col("__time").isNotNull() & F.col("sale_date").isNull()
-    bad = bad | unreadable("qty", QTY) | unreadable("amount", MONEY)
-    rows = whole_files_only(rows, bad, "__file") if whole_files else rows.where(~bad)
+    reason = (
+        _line_fault()
+        .when(F.col("__time").isNotNull() & F.col("sale_date").isNull(), "unreadable time")
+        .when(unreadable("qty", QTY) | unreadable("amount", MONEY), "unreadable number")
+    )
+    rows, rejects = _without(Landing(rows, rejects), reason, whole_files)
     rows = rows.withColumns(
         {
             "qty": F.col("qty").try_cast(QTY),
@@ -72,26 +138,28 @@ def shape_receipts(landed: DataFrame, loaded_at: datetime, whole_files: bool = T
             "hash_256": receipt_key(),
         }
     )
-    return rows.select(
+    rows = rows.select(
         "hash_256", "sale_date", "kkm", "receipt_id", "receipt_name", "item_category",
         "itenm_id", "item", "qty", "amount", "load_dttm",
     )
+    return Landing(rows, rejects)
 
 
 def read_receipts(
     spark: SparkSession, folder: str, loaded_at: datetime, glob: str = "*.csv", whole_files: bool = True
-) -> DataFrame:
+) -> Landing:
     """Receipts of every matching file of a folder.  Cancelled ones differ by folder only."""
-    landed = _landed_csv(spark, folder, RECEIPT_HEADINGS, glob)
-    return shape_receipts(landed, loaded_at, whole_files)
+    return shape_receipts(landed_lines(spark, folder, glob), loaded_at, whole_files)
 
 
-def shape_answers(landed: DataFrame, loaded_at: datetime) -> DataFrame:
-    """Landed survey text to typed, keyed answers with the name of their file."""
-    rows = clean_landed(landed, ANSWER_HEADINGS, "Период")
+def shape_answers(lines: DataFrame, loaded_at: datetime) -> Landing:
+    """Landed survey lines to typed, keyed answers with the name of their file."""
+    landed, rejects = by_heading(lines, ANSWER_HEADINGS)
+    rows = landed.where(F.col("`Период`").isNotNull() | F.col("bad")).withColumnsRenamed(dict(ANSWER_HEADINGS))
     rows = rows.withColumn("__parsed", day_first_timestamp("date"))
-    rows = whole_files_only(rows, F.col("__parsed").isNull() | unreadable("qty", "bigint"))
-    return rows.withColumn("date", F.col("__parsed")).select(
+    reason = _line_fault().when(F.col("__parsed").isNull(), "unreadable time").when(unreadable("qty", "bigint"), "unreadable number")
+    rows, rejects = _without(Landing(rows, rejects), reason, True)
+    rows = rows.withColumn("date", F.col("__parsed")).select(
         answer_key().alias("id"),
         "date",
         "value",
@@ -100,12 +168,11 @@ def shape_answers(landed: DataFrame, loaded_at: datetime) -> DataFrame:
         "file_name",
         load_stamp(loaded_at).alias("load_dttm"),
     )
+    return Landing(rows, rejects)
 
 
-def read_answers(
-    spark: SparkSession, folder: str, loaded_at: datetime, glob: str = "*.csv"
-) -> DataFrame:
-    return shape_answers(_landed_csv(spark, folder, ANSWER_HEADINGS, glob), loaded_at)
+def read_answers(spark: SparkSession, folder: str, loaded_at: datetime, glob: str = "*.csv") -> Landing:
+    return shape_answers(landed_lines(spark, folder, glob), loaded_at)
 
 
 def _read_sheet(spark: SparkSession, sheet_id: str, path: str) -> DataFrame:
@@ -129,7 +196,9 @@ def read_budget_sheets(
     for sheet_id, path in sheets.items():
         try:
             rows = _read_sheet(spark, sheet_id, path)
-        except Exception:
+        except AnalysisException as problem:  # anything else, such as a storage that is down, ends the run
+            if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
             bad.append(sheet_id)
             continue
         if required not in rows.columns:
@@ -145,8 +214,14 @@ def read_budget_sheets(
 
 
 def read_order_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Order documents landed as JSON lines in folders ``event_id=<id>``."""
-    return spark.read.schema(StructType([*ORDER_DOCUMENT, StructField("event_id", StringType())])).json(folder)
+    """Order documents landed as JSON lines in folders ``event_id=<id>``.
+
+    ``landed_at`` is the time of the file, which tells the newer of two states
+    of an order.  A line that is no whole document is in ``broken``. 
+    """
+    schema = StructType([*ORDER_DOCUMENT, StructField("broken", StringType()), StructField("event_id", StringType())])
+    documents = spark.read.schema(schema).option("columnNameOfCorruptRecord", "broken").json(folder)
+    return documents.withColumns({"file_path": F.col("_metadata.file_path"), "landed_at": F.col("_metadata.file_modification_time")})
 
 
 def parse_order_documents(df: DataFrame, text: str, event_id: str) -> DataFrame:

@@ -7,8 +7,9 @@ giving the same batch twice leaves the same table.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,10 +50,42 @@ def hand_over(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _HANDED_OVER.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HANDED_OVER: list[str] = []
+
+
+@contextmanager
+def handed_over_within(spark: SparkSession) -> Iterator[None]:
+    """Delete what was handed over within, also after a failure; nothing lazy may go on reading it."""
+    before = len(_HANDED_OVER)
+    try:
+        yield
+    finally:
+        paths = _HANDED_OVER[before:]
+        del _HANDED_OVER[before:]
+        for path in paths:
+            _delete(spark, path)
+
+
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
+def _moved(spark: SparkSession, source: str, target: str) -> bool:
+    files, place = _place(spark, source)
+    return files.exists(place) and files.rename(place, _place(spark, target)[1])
+
+
 def hand_over_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
     """``hand_over`` of independent results side by side, so one's last tasks leave no core idle."""
     with ThreadPoolExecutor(max_workers=max(len(frames), 1)) as pool:
@@ -64,7 +97,21 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """The new table is complete beside the old one before they change places; a failed write leaves the old one."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    try:
+        df.write.parquet(new)
+    except Exception:
+        _delete(spark, new)
+        raise
+    held = _moved(spark, path, old)
+    if not _moved(spark, new, path):
+        if held:
+            _moved(spark, old, path)
+        raise OSError(f"{new} could not be moved to {path}")
+    if held:
+        _delete(spark, old)
 
 
 def replace_periods(df: DataFrame, path: str, period: Sequence[str]) -> None:
@@ -118,13 +165,22 @@ def upsert(
     return kept.select(*target.columns).unionByName(wanted.select(*target.columns))
 
 
+#: Distinct partitions of a batch that are listed one by one; more are given as a range.
+LISTED_PARTITIONS = 2000
+
+
 def _touched(target: DataFrame, batch: DataFrame, partition: str) -> DataFrame:
-    """The target's partitions between the batch's first and last, and the one without value.
+    """The target's partitions that may hold the batch's: a filter on the partition column, so other folders are not read.
 
-    The range is a filter on the partition column, so other folders are not read.
+    Of a batch with very many partitions all between its first and last are taken.
     """
+    values = [r[0] for r in batch.select(partition).distinct().limit(LISTED_PARTITIONS + 1).collect()]
+    own = F.col(partition)
+    if len(values) <= LISTED_PARTITIONS:
+        listed = own.isin([v for v in values if v is not None])
+        return target.where(listed | own.isNull() if None in values else listed)
     lo, hi = (batch.agg(f(partition)).scalar() for f in (F.min, F.max))
-    return target.where(F.col(partition).between(lo, hi) | F.col(partition).isNull())
+    return target.where(own.between(lo, hi) | own.isNull())
 
 
 def write_absent(
@@ -158,23 +214,23 @@ def write_upsert(
     keys: Sequence[str],
     newest: Sequence[Column],
     partition: str,
+    version: str | None = None,
 ) -> None:
     """Upsert into a stored table, rewriting only the partitions the batch touches.
 
     A key must always lie in the same partition.  The batch is stored once, one
-    row per key, as it is used several times.  The merged rows go into the
-    cluster's checkpoint folder before they are written: the write then reads
-    nothing it replaces, and a lost executor costs no recomputation.
+    row per key, as it is used several times.  The batch wins, or with a
+    ``version`` column the row of the highest version, so that an older batch
+    that comes late overwrites nothing.  The merged rows are written once: they
+    take the place of the old partitions when all tasks have ended.
     """
     wanted = hand_over(one_per_key(batch, keys, newest).select(*schema.names), "batch")
     target = _touched(read_table(spark, path, schema), wanted, partition)
     held = wanted.select(F.col(partition).alias("__held")).distinct()
-    touched = target.join(held, F.col(partition).eqNullSafe(F.col("__held")), "left_semi")
-    kept = touched.join(wanted.select(*keys), list(keys), "left_anti")
-    merged = kept.select(*schema.names).unionByName(wanted)
-    replace_periods(merged.checkpoint(), path, [partition])
-
-
-def version_of_load(unique: str) -> list[Column]:
-    """Newest load first, ended by a unique column."""
-    return [F.col("load_dttm").desc_nulls_last(), F.col(unique)]
+    touched = target.join(held, F.col(partition).eqNullSafe(F.col("__held")), "left_semi").select(*schema.names)
+    if version is None:
+        merged = touched.join(wanted.select(*keys), list(keys), "left_anti").select(*schema.names).unionByName(wanted)
+    else:
+        both = touched.withColumn("__late", F.lit(0)).unionByName(wanted.withColumn("__late", F.lit(1)))
+        merged = one_per_key(both, keys, [F.col(version).desc_nulls_last(), F.col("__late").desc()]).drop("__late")
+    replace_periods(merged, path, [partition])
