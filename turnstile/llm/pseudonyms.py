@@ -38,8 +38,10 @@ _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"
 _IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
 _CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
-_SECRET = r"(?<=(?i:token|secret|password|key)[ ]{0,2}[=:][ ]{0,2}[\"']{0,1})(?:[0-9a-f]{16,128}|[0-9A-F]{16,128})(?![0-9A-Za-z])"
+_SECRET = r"(?<![\p{L}])(?i:token|secret|password|key)[ ]{0,2}[=:][ ]{0,2}[\"']?(?:[0-9a-f]{16,128}|[0-9A-F]{16,128})(?![0-9A-Za-z])"
 FIND = "|".join((_MAIL, _PHONE, _IBAN, _SSN, _DATE, _IP, _CARD, _SECRET))
+#: Every kind has one of these signs: texts without any are not searched further.
+SIGNS = "[0-9@=:]"
 
 
 def _mix(key: str, kind: str):
@@ -169,7 +171,12 @@ def mail(m: Column, key: str) -> Column:
 
 
 def secret(m: Column, key: str) -> Column:
-    return F.when(m.rlike("[A-F]"), _signs(m, ("0123456789ABCDEF",), key, "secret")).otherwise(_signs(m, ("0123456789abcdef",), key, "secret"))
+    name = F.regexp_extract(m, r"^[^=:]*[=:][ ]{0,2}[\"']?", 0)
+
+    def of(value: Column) -> Column:
+        return F.when(value.rlike("[A-F]"), _signs(value, ("0123456789ABCDEF",), key, "secret")).otherwise(_signs(value, ("0123456789abcdef",), key, "secret"))
+
+    return F.concat(name, _held(F.substring(m, F.char_length(name) + 1, F.char_length(m)), of))
 
 
 def pseudonym(m: Column, key: str) -> Column:
@@ -189,7 +196,7 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymized(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """The documents with personal data replaced in ``text``; ``count`` names a column for the number of replaced finds."""
     own = F.col(f"`{text}`")
-    finds = docs.withColumn("__pii_finds", F.when(own.rlike(FIND), F.regexp_extract_all(own, F.lit(FIND), F.lit(0))))
+    finds = docs.withColumn("__pii_finds", F.when(own.rlike(SIGNS) & own.rlike(FIND), F.regexp_extract_all(own, F.lit(FIND), F.lit(0))))
     finds = finds.withColumn("__pii_new", F.transform("__pii_finds", lambda m: pseudonym(m, key)))
     between = F.split(own, FIND, -1)
     joined = F.array_join(F.zip_with(between, F.concat(F.col("__pii_new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
