@@ -207,8 +207,9 @@ def linked(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECA
     shingles; ``n_links``: number of other classes of equal shingles with at least that similarity.
     """
     out = classified(docs, similarity, recall)
-    firsts = out.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    texts = out.groupBy("set_id").agg(F.min("doc_id").alias("text_id"))
+    # Stored first: joined to a stored side, a class of very many documents can be split over tasks.
+    firsts = staged(out.groupBy("root").agg(F.min("doc_id").alias("class_id")), "firsts")
+    texts = staged(out.groupBy("set_id").agg(F.min("doc_id").alias("text_id")), "texts")
     return out.join(firsts, "root").join(texts, "set_id").select("doc_id", "class_id", "text_id", "n_links")
 
 
