@@ -93,12 +93,15 @@ def interval_totals_left(
     time less the interval.  There, what a left row matches lies after it among
     the former and before it among the latter: two running totals.  The work
     grows with the rows, however many of them meet within one interval, and
-    both sides are shuffled once.  The distinct groups of a bucket (answers on
-    a survey's menu) are gathered per bucket.
+    both sides are shuffled once.  Precondition: ``group`` has few values (answers
+    on a survey's menu); the distinct ones of a bucket are gathered, and each
+    left row is compared with each of them.
     """
-    if seconds == 0:
-        pairs = interval_join_left(left, right, keys, left_ts, right_ts, 0)
-        return pairs.select(*left.columns, group, F.col(count).alias("times"), F.col(best).alias("best"))
+    if seconds == 0:  # equal times: summed before they are joined, so that the grain is the same
+        at = [*keys.values(), right_ts]
+        sums = right.dropna(subset=at).groupBy(*at, group).agg(F.sum(count).alias("times"), F.max(best).alias("best")).where("times > 0")
+        pairs = interval_join_left(left, sums, keys, left_ts, right_ts, 0)
+        return pairs.select(*left.columns, group, "times", "best")
 
     places = [f"__k{i}" for i in range(len(keys))]
     own = F.floor(epoch_second(right_ts) / F.lit(seconds))

@@ -68,14 +68,32 @@ def detail_and_total(
     listed for two cities counts twice, an unlisted one not at all) or all rows
     as they are.  Both use the same weekly sums, so the facts are read once.
     """
+    return with_total(per_key, ["year", "week"], MEASURES, cities, city_key, total, total_joins_cities)
+
+
+def with_total(
+    per_key: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    cities: DataFrame | None,
+    city_key: str | None,
+    total: str,
+    total_joins_cities: bool,
+) -> DataFrame:
+    """Each row of sums under its cities' names and under the total, in one pass: no branch reads the facts again.
+
+    A key's cities are gathered first (the list of cities is a short dimension),
+    so the join keeps one row per row.
+    """
     if cities is None:
-        named = per_key.withColumnRenamed("__key", "city")
+        named, names = per_key, F.array("__key")
     else:
-        places = cities.select(F.col(city_key).alias("__place"), F.col("name_en").alias("city"))
-        named = per_key.join(places, F.col("__key") == F.col("__place"), "inner")
-    whole = named if total_joins_cities else per_key
-    columns = ["year", "week", "city", *MEASURES]
-    return named.select(*columns).unionByName(whole.withColumn("city", F.lit(total)).select(*columns))
+        places = cities.where(F.col(city_key).isNotNull()).groupBy(F.col(city_key).alias("__place"))
+        places = places.agg(F.collect_list(F.struct("name_en")).alias("__cities"))
+        named = per_key.join(places, F.col("__key") == F.col("__place"), "left")
+        names = F.coalesce(F.transform("__cities", lambda c: c["name_en"]), F.array().cast("array<string>"))
+    totals = F.transform(names, lambda _: F.lit(total)) if total_joins_cities else F.array(F.lit(total))
+    return named.select(*keys, F.explode(F.concat(names, totals)).alias("city"), *measures)
 
 
 def _sum_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -135,19 +153,10 @@ def revenue_by_source(
     online = paid.groupBy(F.to_date("created_at").alias("day"), F.col("event_id").alias("__key")).agg(
         F.sum(amount).alias("amount")
     )
-    places = cities.select(F.col("event_id").alias("__event"), F.col("name_en").alias("city"))
-    listed = online.join(places, F.col("__key") == F.col("__event"), "inner")
-    offline = sales.groupBy(F.to_date("sale_ts").alias("day"), "city").agg(F.sum("revenue").alias("amount"))
-
-    def branch(df: DataFrame, source: str, city: Column) -> DataFrame:
-        return df.select(F.lit(source).alias("source"), "day", city.alias("city"), "amount")
-
-    every = (
-        branch(listed, "online", F.col("city"))
-        .unionByName(branch(online, "online", F.lit(total)))
-        .unionByName(branch(offline, "offline", F.col("city")))
-        .unionByName(branch(offline, "offline", F.lit(total)))
-    )
+    offline = sales.groupBy(F.to_date("sale_ts").alias("day"), F.col("city").alias("__key")).agg(F.sum("revenue").alias("amount"))
+    online = with_total(online, ["day"], ["amount"], cities, "event_id", total, False)
+    offline = with_total(offline, ["day"], ["amount"], None, None, total, True)
+    every = online.withColumn("source", F.lit("online")).unionByName(offline.withColumn("source", F.lit("offline")))
     per_day = every.groupBy("source", "day", "city").agg(F.sum("amount").alias("amount"))
     calendar = dates.select(F.to_date("date").alias("__day"), "year", "week", "week_range")
     dated = per_day.join(calendar, F.col("day") == F.col("__day"), "left")
@@ -169,10 +178,8 @@ def week_over_week(by_source: DataFrame) -> DataFrame:
     week without revenue, has no change.
     """
     keys = ["year", "week", "week_range", "city"]
-    combined = by_source.groupBy(*keys).agg(F.sum("amount").alias("amount"))
-    every = by_source.select(*keys, "source", "amount").unionByName(
-        combined.select(*keys, F.lit("all").alias("source"), "amount")
-    )
+    sources = F.explode(F.array("source", F.lit("all"))).alias("source")
+    every = by_source.select(*keys, sources, "amount").groupBy(*keys, "source").agg(F.sum("amount").alias("amount"))
     w = Window.partitionBy("city", "source").orderBy("year", "week", "week_range")
     previous = F.lag("amount").over(w)
     return every.withColumn("previous", previous).withColumn(
