@@ -6,7 +6,7 @@ per total, where Spark cuts time into buckets the SQL compares the times, and
 where Spark parses a text the SQL takes the value the text was made of.
 """
 
-from turnstile.checks import ingest, joining, mart, rows, totals
+from turnstile.checks import ingest, joining, landing, mart, rows, totals
 from turnstile.checks.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "ingest", "joining", "mart", "rows", "totals"]
+__all__ = ["ORACLES", "QUERIES", "ingest", "joining", "landing", "mart", "rows", "totals"]
