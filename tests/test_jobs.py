@@ -176,3 +176,29 @@ def test_files_are_told_apart_by_path_and_rejects_are_kept(spark, tmp_path, rows
     csv(land / "load=2" / "y.csv", RECEIPT_HEADINGS, receipt("06.10.2025 14:21:58", 2, "Билеты", 4, "1.00"))
     jobs.load_new_receipts(w, str(land), LOADED, "followed").awaitTermination()
     assert w.read("followed").count() == 2, "a corrected file is taken under a new name"
+
+
+def test_refresh_by_periods_equals_full_refresh_across_a_year_end(spark, tmp_path, rows_of):
+    w = warehouse(spark, tmp_path)
+    times = [f"{d}.{m}.{y} 23:59:58" for d, m, y in [("28", "12", 2023), ("01", "01", 2024), ("15", "06", 2024), ("29", "12", 2024), ("30", "12", 2024), ("31", "12", 2024), ("01", "01", 2025), ("08", "01", 2025)]]
+    csv(tmp_path / "r" / "a.csv", RECEIPT_HEADINGS, *[receipt(t, i, "Билеты", i + 1, f"{i + 1}00.00") for i, t in enumerate(times)])
+    csv(tmp_path / "a" / "a.csv", ANSWER_HEADINGS, "31.12.2024 00:00:01,Листовки,1,Омск", "01.01.2025 00:00:02,Листовки,2,Омск")
+    jobs.load_receipts(w, str(tmp_path / "r"), LOADED)
+    jobs.load_answers(w, str(tmp_path / "a"), LOADED)
+    jobs.refresh_offline_sales(w)
+    read = lambda: [rows_of(w.read(t), "year", p, "city", *m) for t, p, m in (("sales", "week", ["value_group", "total_tickets", "total_ads_qty"]), ("sales_month", "month", ["value_group", "total_tickets"]), ("weekly_revenue", "week", ["total_amount"]))]
+    for period in ("week", "month"):
+        jobs.refresh_sales(w, period)
+    jobs.refresh_weekly_revenue(w)
+    full = read()
+    assert {r[:2] for r in full[0]} >= {(2024, 1), (2025, 1), (2023, 52), (2024, 52)} and all(full)
+    for table in ("sales", "sales_month", "weekly_revenue"):
+        replace_table(w.read(table).limit(0), w.path(table))
+    for days in ((date(2023, 12, 28), date(2024, 12, 30)), (date(2024, 12, 30), date(2025, 1, 31))):
+        for period in ("week", "month"):
+            jobs.refresh_sales(w, period, days)
+        jobs.refresh_weekly_revenue(w, days)
+    assert read() == full
+    days = [date(2024, 1, 1), date(2024, 12, 30)]
+    plan = jobs._on(jobs._offline(w), "sale_day", days)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [sale_day#" in plan

@@ -6,6 +6,8 @@ that fall into a daylight-saving gap, so they are avoided.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,6 +43,18 @@ def period_columns(c: Column | str, period: str, year_mode: str = "calendar") ->
     return [year.alias("year"), part.alias(period)]
 
 
+def whole_periods(first: date, last: date, period: str) -> list[date]:
+    """All days of the periods that the days from ``first`` to ``last`` are in.
+
+    Years are calendar years: week 1 of a year also holds the last days of its
+    December, and they are in the list with those of its January.
+    """
+    of = lambda d: (d.year, d.isocalendar().week if period == "week" else d.month)
+    days = lambda a, b: [a + timedelta(n) for n in range((b - a).days + 1)]
+    touched = {of(d) for d in days(first, last)}
+    return [d for d in days(date(first.year, 1, 1), date(last.year, 12, 31)) if of(d) in touched]
+
+
 def epoch_second(c: Column | str) -> Column:
     """Whole seconds since 1970-01-01, rounded down, also before 1970."""
     c = _col(c)

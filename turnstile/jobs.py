@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from turnstile import schemas
 from turnstile.constants import MART_CHANNELS, TILL_TO_CITY
-from turnstile.functions.times import calendar_year, iso_week
+from turnstile.functions.times import calendar_year, iso_week, whole_periods
 from turnstile.operators.quality import ingest_summary, key_uniqueness, values_outside
 from turnstile.plans.answers import daily_answers, new_daily_answers
 from turnstile.plans.attribution import attributed_checks, attribution_totals
@@ -221,13 +221,41 @@ def _offline(w: Warehouse) -> DataFrame:
     return w.read("offline_sales", _with_day(schemas.OFFLINE_SALES, "sale_day", T.DateType()))
 
 
-def refresh_sales(w: Warehouse, period: str = "week") -> None:
-    """Attributed tickets and answers by week or month, with totals."""
-    checks = attributed_checks(
-        _offline(w), w.read("answers", ANSWER_TABLE), w.read("cities", schemas.CITIES), period
-    )
+Days = tuple[date, date]
+
+
+def _on(facts: DataFrame, day: str, days: list[date]) -> DataFrame:
+    """Facts of the days alone: a filter on the partition column."""
+    return facts.where(F.col(day).isin(days))
+
+
+def _write_periods(rows: DataFrame, path: str, period: str, days: Days | None) -> None:
+    """Replace the table, or only the periods that the days are in. A period that has lost all its rows stays."""
+    if days is None:
+        replace_table(rows, path, ["year", period])
+    else:
+        replace_periods(rows, path, ["year", period])
+
+
+def _read_periods(w: Warehouse, table: str, period: str = "week") -> DataFrame:
+    return w.read(table).withColumns({c: F.col(c).cast("long") for c in ("year", period)})
+
+
+def refresh_sales(w: Warehouse, period: str = "week", days: Days | None = None) -> None:
+    """Attributed tickets and answers by week or month, with totals.
+
+    With ``days`` (first and last) only the periods they are in are read and
+    replaced; answers of the day after are read too, as they may belong to a
+    sale just before midnight.
+    """
+    sales, answers = _offline(w), w.read("answers", ANSWER_TABLE)
+    if days is not None:
+        wanted = whole_periods(*days, period)
+        sales = _on(sales, "sale_day", wanted)
+        answers = _on(answers, "answer_day", sorted({*wanted, *(d + timedelta(1) for d in wanted)}))
+    checks = attributed_checks(sales, answers, w.read("cities", schemas.CITIES), period)
     table = {"week": "sales", "month": "sales_month"}[period]
-    replace_table(attribution_totals(checks, period), w.path(table))
+    _write_periods(attribution_totals(checks, period), w.path(table), period, days)
 
 
 def refresh_budgets(w: Warehouse, period: str = "week") -> None:
@@ -247,17 +275,21 @@ def refresh_daily_answers(w: Warehouse, after: date | None = None) -> None:
     append_table(new_daily_answers(daily, held, after), w.path("daily_answers"))
 
 
-def refresh_weekly_revenue(w: Warehouse) -> None:
-    """Weekly revenue per city with its total row."""
-    online = w.read("online_sales", ONLINE_TABLE)
-    rows = weekly_revenue(online, _offline(w), w.read("cities", schemas.CITIES))
-    replace_table(rows, w.path("weekly_revenue"))
+def refresh_weekly_revenue(w: Warehouse, days: Days | None = None) -> None:
+    """Weekly revenue per city with its total row, of all weeks or of those that the days are in."""
+    online, offline = w.read("online_sales", ONLINE_TABLE), _offline(w)
+    if days is not None:
+        wanted = whole_periods(*days, "week")
+        online, offline = _on(online, "created_day", wanted), _on(offline, "sale_day", wanted)
+    rows = weekly_revenue(online, offline, w.read("cities", schemas.CITIES))
+    _write_periods(rows, w.path("weekly_revenue"), "week", days)
 
 
+@_cleans_up
 def refresh_weekly_mart(w: Warehouse, as_of: date) -> None:
     """The weekly mart of the stored sales, budgets and revenue."""
     rows = weekly_mart(
-        w.read("sales"), w.read("prepared_budgets"), w.read("weekly_revenue"),
+        _read_periods(w, "sales"), w.read("prepared_budgets"), _read_periods(w, "weekly_revenue"),
         w.read("cities", schemas.CITIES), as_of,
     )
     replace_table(rows, w.path("weekly_mart"))

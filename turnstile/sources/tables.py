@@ -96,12 +96,12 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """The new table is complete beside the old one before they change places; a failed write leaves the old one."""
     spark, path = df.sparkSession, path.rstrip("/")
     new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
     try:
-        df.write.parquet(new)
+        (df.hint("rebalance", *partition_by) if partition_by else df).write.partitionBy(*partition_by).parquet(new)
     except Exception:
         _delete(spark, new)
         raise
