@@ -2,8 +2,7 @@
 
 A byte-pair tokenizer first cuts a text into words and never looks across a
 cut.  Texts repeat their words, so each worker keeps the ids of the words it
-has met and asks the ``tokenizers`` library only for new ones, many at a time;
-the ids are those of encoding the whole text.  Where a text is spaced so that
+has met and asks the ``tokenizers`` library only for new ones; the ids are those of encoding the whole text.  Where a text is spaced so that
 cutting at blanks could differ from the tokenizer's own cuts, the library
 encodes the whole text.
 """
@@ -18,10 +17,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Words kept per worker process (twice as many at most), and the longest kept: they bound its memory.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 LONGEST_KEPT = 40
 #: Texts whose new words are encoded in one call.
-TEXTS_AT_ONCE = 32
+TEXTS_AT_ONCE = 64
 
 
 class _BytesAsText(dict):
@@ -44,11 +43,12 @@ class Encoder:
 
     #: A blank whose neighbours both are white space: such runs are cut by rules of their own.
     _SPACED = re.compile(r" (?<=\s )(?=\s|\Z)")
-    #: Python's split() takes the first four for white space, the tokenizers don't; two more mark cuts here.
-    _MARKS = re.compile("[\x1c-\x1f\x00\x01]")
-    _SPACE = re.compile(r"\s")
-    _STOP_AFTER_WORD = re.compile(r"[,.](?<=[^\W_][,.])(?=\s)")
-    _STOP_OR_LINE = re.compile(r"[,.](?<=[^\W_][,.])(?=\s)|\n(?<=\S\n)(?=\S)")
+    #: In an ASCII text such a blank is one of these pairs, or the last sign.
+    _PAIRS = tuple(" " + space for space in " \t\n\r\x0b\x0c")
+    #: Python's split() takes the first four for white space, the tokenizers don't; the last marks words here.
+    _MARKS = "\x1c\x1d\x1e\x1f\x00"
+    #: Runs that the tokenizers never join: letters, digits, other signs; a line end stands alone.
+    _RUNS = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+|\n")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -60,9 +60,6 @@ class Encoder:
         self.keeps_space = len(self.whole("a b")) != len(self.whole("a  b"))
         self.lowers = self.whole("ÀB") == self.whole("àb")
         self.bytes_as_text = _BytesAsText()
-        #: A text between two words that always is one token of its own.
-        self.between = "\n" if self.keeps_space else " \x01 "
-        (self.between_id,) = self.whole(self.between)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -74,49 +71,60 @@ class Encoder:
 
     def _cut(self, text: str) -> list[str] | None:
         """Words whose ids in a row are the text's; None if only the whole text gives them."""
-        if self._MARKS.search(text):
+        if any(mark in text for mark in self._MARKS):
             return None
         if not self.keeps_space:
             if self.lowers and "Σ" not in text:  # whose lower case depends on its place, in Python alone
                 text = text.lower()
-            return self._STOP_AFTER_WORD.sub(r" \g<0>", text).split()
-        if self._SPACED.search(text):
+            return text.split()
+        doubtful = not text.isascii() or any(pair in text for pair in self._PAIRS) or text[-1] == " "
+        if doubtful and self._SPACED.search(text):
             return None
-        words = self._STOP_OR_LINE.sub(" \x00\\g<0>", text).split(" ")
+        words = text.split(" ")
         words[0] = "\x00" + words[0]  # a leading mark: no blank before this word
         return words
 
-    def _ids_of(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words.
-
-        Words of letters alone need no cutting, so they go to the library's
-        model directly; others without white space go through in one call,
-        parted by a token between them; the rest one by one.
-        """
+    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of new words: of plain runs from the library's model, else of the whole word."""
         found: dict[str, bytes] = {}
-        together: dict[str, list[str]] = {" ": [], "": []}
-        model, table, blank = self.tokenizer.model.tokenize, self.bytes_as_text, self.bytes_as_text[ord(" ")]
-        for w in words:
-            bare = w.removeprefix("\x00")
-            lead = " " if self.keeps_space and bare is w else ""
-            if bare.isalpha() and (bare.isascii() or unicodedata.is_normalized("NFC", bare)) and (self.keeps_space or self.lowers and bare.islower()):
-                found[w] = array("I", [x.id for x in model((blank if lead else "") + bare.translate(table))]).tobytes()
-            elif bare and (not self.keeps_space or not self._SPACE.search(bare)):
-                together[lead].append(w)
-            else:
-                found[w] = self._packed(lead + bare)
-        for lead, group in together.items():
-            if not group:
+        model, table, known = self.tokenizer.model.tokenize, self.bytes_as_text, self.young.get
+        blank, keeps_space = table[32] if self.keeps_space else "", self.keeps_space
+        for word in words:
+            if word.isalpha() and (keeps_space or self._plain(word)):
+                signs = word if word.isascii() else word.translate(table)
+                found[word] = array("I", [x.id for x in model(blank + signs)]).tobytes()
                 continue
-            text = self.between.join([lead + w.removeprefix("\x00") for w in group])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(ids == self.between_id), len(ids)).tolist()
-            packed, start = ids.tobytes(), 0
-            for w, end in zip(group, ends, strict=True):
-                found[w] = packed[4 * start : 4 * end]
-                start = end + 1
+            bare = word.removeprefix("\x00")
+            lead = blank if bare is word else ""
+            runs = self._runs(bare) if keeps_space or self._plain(bare) else []
+            out = [] if runs else [self._packed((" " if lead else "") + bare)]
+            for run in runs:
+                key = run if lead or not keeps_space else "\x00" + run
+                if (ids := found.get(key) or known(key)) is None:
+                    ids = found[key] = array("I", [x.id for x in model(lead + run.translate(table))]).tobytes()
+                out.append(ids)
+                lead = ""
+            found[word] = b"".join(out)
         return found
 
+    def _plain(self, word: str) -> bool:
+        """The tokenizer's normalizing leaves the word as it is."""
+        return self.lowers and word == word.lower() and (word.isascii() or unicodedata.is_normalized("NFC", word))
+
+    def _runs(self, bare: str) -> list[str]:
+        """The runs of a word; none where contractions, odd numerals or white space make rules of their own."""
+        runs = self._RUNS.findall(bare)
+        if "'" in bare or "".join(runs) != bare:
+            return []
+        if "\n" in bare and (bare[0] == "\n" or bare[-1] == "\n" or "\n\n" in bare):
+            return []
+        for run in runs:
+            if not (run.isalpha() or run.isdecimal() or not run[0].isalnum()):
+                return []
+        if not self.keeps_space:  # these take digits one by one
+            return [x for run in runs for x in (run if run.isdecimal() else [run])]
+        return runs
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
         if len(self.young) > KEPT_WORDS:
@@ -127,7 +135,7 @@ class Encoder:
         missing = {words[i] for words, own in zip(cut, holes, strict=True) for i in own}
         if missing:
             new = {w: x for w in missing if (x := self.old.get(w)) is not None}
-            new |= self._ids_of([w for w in missing if w not in new])
+            new |= self._learn(missing.difference(new))
             self.young.update((w, x) for w, x in new.items() if len(w) <= LONGEST_KEPT)
             for words, found, own in zip(cut, ids, holes, strict=True):
                 for i in own:
