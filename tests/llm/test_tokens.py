@@ -117,17 +117,17 @@ def test_pieces_and_sequences(spark, documents):
     got = packed.collect()
     packed_well([(r.length, r.sequence_id, r.offset) for r in got], packing.Capacity())
     long = sorted((r for r in got if r.doc_id == 1), key=lambda r: r.piece)
-    ids = np.concatenate([np.frombuffer(r.ids, "<u4") for r in long]).tolist()
+    ids = token_files.unsqueezed([r.ids for r in long]).tolist()
     assert ids == whole(rows[0][1]) + [0]
     assert [r.length for r in long[1:]] == [2048] * (len(long) - 1) and [r.start for r in long] == np.cumsum([0, *[r.length for r in long[:-1]]]).tolist()
-    assert all(r.ids_crc32 == zlib.crc32(bytes(r.ids)) for r in got)
+    assert all(r.ids_crc32 == zlib.crc32(token_files.unsqueezed([r.ids]).tobytes()) for r in got)
     assert sorted(str(r.doc_id) for r in got if r.doc_id != 1) == sorted(str(i) for i, _ in rows[1:])
     laid = packing.sequences(packed).collect()
     assert sum(len(r.ids) for r in laid) == 4 * sum(r.length for r in got) == 4 * sum(r.n_tokens for r in laid)
     for r in laid:
         for p in r.parts:
             own = next(x for x in got if (x.sequence_id, x.offset) == (r.sequence_id, p.offset))
-            assert bytes(r.ids)[4 * p.offset : 4 * (p.offset + p.length)] == bytes(own.ids)
+            assert bytes(r.ids)[4 * p.offset : 4 * (p.offset + p.length)] == token_files.unsqueezed([own.ids]).tobytes()
 
 
 def test_packing_nothing(spark, documents):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.llm.common import document_columns, query, staged, table
-from turnstile.llm.token_files import slices
+from turnstile.llm.token_files import slices, squeezed, unsqueezed
 from turnstile.llm.tokens import encode_texts
 
 #: Pieces packed together in one task, about.
@@ -90,7 +90,7 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
 
 
 def pieces_of(docs: DataFrame, path: str, end_id: int, most: int, keep_ids: bool = False) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids) of the cut texts."""
+    """doc_id, piece, start, length, ids_crc32 (and ids, squeezed) of the cut texts."""
 
     def work(batches):
         for batch in slices(batches):
@@ -99,7 +99,7 @@ def pieces_of(docs: DataFrame, path: str, end_id: int, most: int, keep_ids: bool
                 start = 0
                 for k, n in enumerate(cut_lengths(len(ids) // 4, most)):
                     own = ids[4 * start : 4 * (start + n)]
-                    for column, value in zip(rows, (doc, k, start, n, zlib.crc32(own), own if keep_ids else None), strict=True):
+                    for column, value in zip(rows, (doc, k, start, n, zlib.crc32(own), squeezed(own) if keep_ids else None), strict=True):
                         column.append(value)
                     start += n
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -127,14 +127,21 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity()) -> DataFrame:
 
 def sequences(packed: DataFrame) -> DataFrame:
     """One row per sequence: its ids, and which document lies where. A group holds one sequence, of bounded length."""
+    place = ("doc_id", "piece", "start", "length", "offset")
     parts = F.array_sort(F.collect_list(F.struct("offset", "doc_id", "piece", "start", "length", "ids")))
-    laid = packed.groupBy("sequence_id").agg(parts.alias("_parts"))
-    return laid.select(
+    laid = packed.groupBy("sequence_id").agg(parts.alias("_parts")).select(
         "sequence_id",
         F.aggregate("_parts", F.lit(0).cast("long"), lambda n, p: n + p["length"]).alias("n_tokens"),
-        F.aggregate("_parts", F.lit(b""), lambda ids, p: F.concat(ids, p["ids"])).alias("ids"),
-        F.transform("_parts", lambda p: F.struct(p["doc_id"].alias("doc_id"), p["piece"].alias("piece"), p["start"].alias("start"), p["length"].alias("length"), p["offset"].alias("offset"))).alias("parts"),
-    )
+        F.transform("_parts", lambda p: p["ids"]).alias("ids"),
+        F.transform("_parts", lambda p: F.struct(*[p[c].alias(c) for c in place])).alias("parts"),
+    )
+
+    def join_ids(batches):
+        for batch in slices(batches):
+            ids = [unsqueezed(own).tobytes() for own in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("sequence_id"), batch.column("n_tokens"), pa.array(ids, pa.binary()), batch.column("parts")], ["sequence_id", "n_tokens", "ids", "parts"])
+
+    return laid.mapInArrow(join_ids, "sequence_id long, n_tokens long, ids binary, parts array<struct<doc_id long, piece int, start long, length long, offset long>>")
 
 
 @query("op4_best_fit")
