@@ -202,3 +202,10 @@ def test_refresh_by_periods_equals_full_refresh_across_a_year_end(spark, tmp_pat
     days = [date(2024, 1, 1), date(2024, 12, 30)]
     plan = jobs._on(jobs._offline(w), "sale_day", days)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [sale_day#" in plan
+
+
+def test_budgets_of_unreadable_dates_are_reported(spark, tmp_path, rows_of):
+    w = warehouse(spark, tmp_path)
+    rows = [("1", "2gis", "06.10.2025", "x", "Omsk", 5.0), ("2", "2gis", "soon", "x", "Omsk", 7.0), ("3", "2gis", "soon", "x", "Ufa", 1.0)]
+    replace_table(spark.createDataFrame(rows, schemas.BUDGETS_WEEK), w.path("budgets"))
+    assert rows_of(jobs.budgets_without_date(w)) == [("soon", 2, 8.0)]

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from turnstile import schemas
 from turnstile.constants import MART_CHANNELS, TILL_TO_CITY
-from turnstile.functions.times import calendar_year, iso_week, whole_periods
+from turnstile.functions.times import calendar_year, iso_week, loose_date, whole_periods
 from turnstile.operators.quality import ingest_summary, key_uniqueness, values_outside
 from turnstile.plans.answers import daily_answers, new_daily_answers
 from turnstile.plans.attribution import attributed_checks, attribution_totals
@@ -305,6 +305,16 @@ def channels_outside_mart(w: Warehouse) -> DataFrame:
     return values_outside(w.read("prepared_budgets"), "channel", MART_CHANNELS, "current_week")
 
 
+def budgets_without_date(w: Warehouse, period: str = "week") -> DataFrame:
+    """Start dates of the stored budgets that cannot be read, with rows and sum: no total holds them."""
+    table, schema, name = {
+        "week": ("budgets", schemas.BUDGETS_WEEK, "dateFrom"),
+        "month": ("budgets_month", schemas.BUDGETS_MONTH, "date"),
+    }[period]
+    lost = w.read(table, schema).where(loose_date(name).isNull())
+    return lost.groupBy(name).agg(F.count(F.lit(1)).alias("row_count"), F.sum("budget").alias("total"))
+
+
 def weekly_report(w: Warehouse, as_of: date) -> DataFrame:
     """Lines of the report on the last full week; tills of no city count in the totals only."""
     online = w.read("online_sales", ONLINE_TABLE)
