@@ -20,7 +20,10 @@ FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
 # Runs that read back what they wrote: their returned plan is a plain scan.
-WRITERS = {"stream_ingest", "replace_period_tables"}
+WRITERS = {
+    "stream_ingest", "replace_period_tables", "landed_receipts", "cancelled_receipts_run", "landed_answers",
+    "newest_order_state", "append_then_anti_join",
+}
 
 
 def plan_of(df, mode="simple"):
