@@ -300,8 +300,8 @@ def test_pipeline(spark):
     ids = {k: {r.doc_id for r in v.select("doc_id").collect()} for k, v in kept.items() if k != "packing"}
     before = {r.doc_id: r.text for r in kept["start"].collect()}
     labels = pd.read_parquet(f"{FOLDER}/labels.parquet").set_index("doc_id").quality
-    assert np.mean([labels[i] for i in ids["quality"] if i in labels]) > 0.9
-    assert np.mean([labels[i] == 0 for i in ids["start"] - ids["quality"] if i in labels]) > 0.9
+    assert np.mean([labels[i] for i in ids["quality"] if i in labels]) > 0.97
+    assert np.mean([labels[i] == 0 for i in ids["start"] - ids["quality"] if i in labels]) > 0.97
     classes = brute_links([(i, before[i]) for i in ids["quality"]])
     assert ids["near_copies"] == {c for c, *_ in classes.values()}
     assert ids["decontamination"] <= ids["near_copies"] and ids["personal_data"] == ids["decontamination"]
