@@ -211,6 +211,21 @@ def test_pseudonyms(spark, documents):
     assert pseudonyms.pseudonymized(documents([]), "k").count() == 0
 
 
+def test_numbers_beside_a_find_do_not_hide_it(spark, documents):
+    spaced, plain, spanish = "4111 1111 1111 1111", "4111111111111111", "ES91 2100 0418 4502 0005 1332"
+    texts = [
+        f"{spaced} 12/27", f"{plain} 123", f"7 {plain}", f"{spanish} EUR", f"{spanish.replace(' ', '')} EUR", "BE68 5390 0754 7034 EUR 100", f"1234 5678 {spaced}",
+        f"{spaced} 123-45-6789", f"{spanish} {spaced}", f"+1 212 555 0123 {spaced}", f"+44 20 7946 0958 {spaced}", f"{spaced} {spaced}", f"AT12 1234 {spaced}", f"{spanish} JOE@mail.com", f"+{plain}",
+    ]
+    clear = [spaced, plain, "123-45-6789", spanish, spanish.replace(" ", ""), "BE68 5390 0754 7034", "JOE@", "+1 212 555 0123", "+44 20 7946 0958"]
+    got = pseudonyms.pseudonymized(documents(texts), "k", count="changed").orderBy("doc_id").collect()
+    for r, text in zip(got, texts, strict=True):
+        assert len(r.text) == len(text) and not [c for c in clear if c in r.text], (text, r.text)
+    assert [r.changed for r in got] == [1, 1, 1, 1, 1, 1, 1, 2, 2, 2, 2, 2, 1, 2, 1]
+    assert got[0].text.endswith(" 12/27") and got[1].text.endswith(" 123") and got[2].text.startswith("7 ") and got[3].text.endswith(" EUR") and got[5].text.endswith(" EUR 100")
+    assert len({re.search(r"4[0-9 ]{15,18}$", got[i].text).group().replace(" ", "") for i in (2, 6, 8, 9, 10)}) == 1
+
+
 def test_different_values_stay_different(spark):
     day = F.date_add(F.lit("1700-01-01").cast("date"), F.col("id").cast("int"))
     days = spark.range(0, 146_097, 37).select(F.date_format(day, "yyyy-MM-dd").alias("text"))

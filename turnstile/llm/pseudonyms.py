@@ -9,10 +9,17 @@ hexadecimal secrets behind a word that names them move letter by letter and
 digit by digit.  One key gives one permutation per kind: equal values get
 equal pseudonyms in all documents, different ones different.
 
+Cards and IBANs are tried from every place of a text: a card is the longest run
+of digits from there, cut between groups alone, that stands its check; an IBAN
+has its country's length, else the longest that stands its check.  So an expiry
+date, a currency or a number beside them hides none.  Of two that overlap, the
+left one is taken, but a card in the usual groups, a date or a social security
+number before a card in odd groups.
+
 Texts without a find pass unchanged, as do finds that fail their check.  A null
 text stays null.  The text's column is replaced where it stands; all other
 columns, whatever their names, and repeated rows stay.  Only column expressions
-are used; a text is searched once, and thrice if it has a find.
+are used.
 """
 
 from __future__ import annotations
@@ -32,14 +39,27 @@ SSN = (898, 99 * 9999)
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _MAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![\p{L}\p{N}])"
-_PHONE = r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])"
-_IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
+_DIGIT = "[ .()-]{0,2}[0-9]"  # written out below, as a look back takes no repeated group of several lengths
+#: A phone number's head, and one of its further groups; its end looks back that it has 7 to 15 digits.
+_PHONE = r"(?<![\p{L}\p{N}+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?", r"[0-9]{2,4}){2,4}(?<=\+" + _DIGIT * 7 + f"(?:{_DIGIT}" * 8 + ")?" * 8 + ")(?![0-9])"
 _SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 _DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.[0-9]{4}|[0-9]{2}/[0-9]{2}/[0-9]{4})(?![0-9/-])"
 _IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
-_CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
 _SECRET = r"(?<![\p{L}])(?i:token|secret|password|key)[ ]{0,2}[=:][ ]{0,2}[\"']?(?:[0-9a-f]{16,128}|[0-9A-F]{16,128})(?![0-9A-Za-z])"
-FIND = "|".join((_MAIL, _PHONE, _IBAN, _SSN, _DATE, _IP, _CARD, _SECRET))
+#: What can be a card or an IBAN from a place on, the sign behind it with it: looked at from every place.
+_CARD_HERE = r"(?<![0-9])(?=([0-9](?:[ -]?[0-9]){12,18}[0-9]?))"
+_IBAN_HERE = r"(?<![\p{L}\p{N}])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?[\p{L}\p{N}]?))"
+#: Cards as they are printed; such a one, a social security number or a date is not cut by a card of other grouping.
+_PRINTED = r"^(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:\1[0-9]{1,3})?|[0-9]{4}([ -])[0-9]{6}\2[0-9]{4,5})$"
+#: Length of the IBANs of a country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_OTHERS = "|".join((_SSN, _DATE, _IP))
+#: Finds beside cards and IBANs, which have to stand their check first.
+FIND = "|".join((_MAIL, "".join(_PHONE), _OTHERS, _SECRET))
 #: Every kind has one of these signs: texts without any are not searched further.
 SIGNS = "[0-9@=:]"
 
@@ -105,13 +125,70 @@ def _held(value: Column, build) -> Column:
     return F.element_at(F.transform(F.array(value), build), 1)
 
 
+def is_card(d: Column) -> Column:
+    n = F.char_length(d)
+    return luhn_digit(F.substring(d, F.lit(1), n - 1)) == F.substring(d, n, F.lit(1)).cast("int")
+
+
+def is_iban(d: Column) -> Column:
+    return (iban_rest(F.concat(F.substring(d, F.lit(5), F.char_length(d)), F.substring(d, 1, 4))) == 1) & (F.char_length(d) >= 15)
+
+
+def _cards(text: Column) -> Column:
+    """The cards of a text: from every place the longest that ends with a run of digits and stands its check."""
+
+    def longest(here: Column) -> Column:
+        runs = F.array(*[F.regexp_extract(here, rf"^[0-9](?:[ -]?[0-9]){{{n - 1}}}(?![0-9])", 0) for n in range(19, 12, -1)])
+        return F.get(F.filter(runs, lambda m: F.when(m != "", is_card(digits_of(m))).otherwise(False)), F.lit(0))
+
+    return _distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(_CARD_HERE), F.lit(1))), longest))
+
+
+def _ibans(text: Column) -> Column:
+    """The IBANs of a text: from every place the one of the country's length, else the longest; of unknown countries any length."""
+
+    def prefix(here: Column, n: int) -> Column:
+        rest = f"(?: ?[A-Z0-9]{{{n % 4}}})" if n % 4 else ""
+        return F.regexp_extract(here, rf"^[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}(?![\p{{L}}\p{{N}}])", 0)
+
+    def best(here: Column) -> Column:
+        country, own = F.substring(here, 1, 2), F.lit(None).cast("string")
+        for n, countries in IBAN_LENGTHS.items():
+            own = F.when(country.isin(*countries.split()), prefix(here, n)).otherwise(own)
+        every = F.filter(F.array(*[prefix(here, n) for n in range(34, 14, -1)]), lambda m: m != "")
+        tried = _held(own, lambda o: F.when(o.isNull(), every).otherwise(F.concat(F.array(o), F.slice(every, 1, 1))))
+        return F.get(F.filter(tried, lambda m: F.when(m != "", is_iban(F.regexp_replace(m, " ", ""))).otherwise(False)), F.lit(0))
+
+    return _distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(_IBAN_HERE), F.lit(1))), best))
+
+
+def _distinct(found: Column) -> Column:
+    """The texts that are not null, each once, longer ones first."""
+    by_length = F.array_sort(F.transform(F.filter(found, lambda m: m.isNotNull()), lambda m: F.struct(-F.char_length(m), m.alias("m"))))
+    return F.array_distinct(F.transform(by_length, lambda x: x["m"]))
+
+
+def _pattern(cards: Column, ibans: Column) -> Column:
+    """The pattern of a text's finds: cards and IBANs stand in it as they are, so that nothing else takes a part of them."""
+    printed = F.filter(cards, lambda m: m.rlike(_PRINTED))
+    guard = F.when(F.size(printed) > 0, F.concat(F.lit("(?!(?:"), F.array_join(printed, "|"), F.lit(")(?![0-9]))"))).otherwise("")
+    odd = F.concat(F.lit(f"(?!{_SSN}|{_DATE})".replace(r"\.", "[.]")), guard)
+    whole = _held(odd, lambda g: F.array_join(F.transform(cards, lambda m: F.when(m.rlike(_PRINTED), m).otherwise(F.regexp_replace(m, F.lit("([ -])"), F.concat(F.lit("$1"), g)))), "|"))
+    return F.concat(
+        F.lit(f"{_MAIL}|{_PHONE[0]}"), guard, F.lit(_PHONE[1]),
+        F.when(F.size(ibans) > 0, F.concat(F.lit(r"|(?<![\p{L}\p{N}])(?:"), F.array_join(ibans, "|"), F.lit(r")(?![\p{L}\p{N}])"))).otherwise(""),
+        F.lit(f"|{_OTHERS}"),
+        F.when(F.size(cards) > 0, F.concat(F.lit("|(?<![0-9])(?:"), whole, F.lit(")(?![0-9])"))).otherwise(""),
+        F.lit(f"|{_SECRET}"),
+    )
+
+
 def card(m: Column, key: str) -> Column:
     def of(d: Column) -> Column:
         n = F.char_length(d)
-        valid = luhn_digit(F.substring(d, F.lit(1), n - 1)) == F.substring(d, n, F.lit(1)).cast("int")
         payload = F.concat(F.substring(d, 1, 1), _signs(F.substring(d, F.lit(2), n - 2), (DIGITS,), key, "card"))
         new = _held(payload, lambda p: _filled(m, F.concat(p, luhn_digit(p).cast("string")), "0-9"))
-        return F.when(valid, new).otherwise(m)
+        return F.when(is_card(d), new).otherwise(m)
 
     return _held(digits_of(m), of)
 
@@ -119,13 +196,12 @@ def card(m: Column, key: str) -> Column:
 def iban(m: Column, key: str) -> Column:
     def of(d: Column) -> Column:
         country, account = F.substring(d, 1, 2), F.substring(d, F.lit(5), F.char_length(d))
-        valid = (iban_rest(F.concat(account, country, F.substring(d, 3, 2))) == 1) & (F.char_length(d) >= 15)
 
         def new(p: Column) -> Column:
             check = F.lpad((98 - iban_rest(F.concat(p, country, F.lit("00")))).cast("string"), 2, "0")
             return _filled(m, F.concat(country, check, p), "A-Z0-9")
 
-        return F.when(valid, _held(_signs(account, (DIGITS, UPPER), key, "iban"), new)).otherwise(m)
+        return F.when(is_iban(d), _held(_signs(account, (DIGITS, UPPER), key, "iban"), new)).otherwise(m)
 
     return _held(F.regexp_replace(m, "[^A-Z0-9]", ""), of)
 
@@ -196,15 +272,20 @@ def pseudonym(m: Column, key: str) -> Column:
 def pseudonymized(docs: DataFrame, key: str, text: str = "text", count: str | None = None) -> DataFrame:
     """The documents with personal data replaced in ``text``; ``count`` names a column for the number of replaced finds."""
     own = F.col(f"`{text}`")
-    finds = docs.withColumn("__pii_finds", F.when(own.rlike(SIGNS) & own.rlike(FIND), F.regexp_extract_all(own, F.lit(FIND), F.lit(0))))
+    none = F.array().cast("array<string>")
+    found = docs.withColumn("__pii_cards", F.when(own.rlike("[0-9](?:[ -]?[0-9]){12}"), _cards(own)).otherwise(none))
+    found = found.withColumn("__pii_ibans", F.when(own.rlike("[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2}"), _ibans(own)).otherwise(none))
+    cards, ibans = F.col("__pii_cards"), F.col("__pii_ibans")
+    finds = found.withColumn("__pii_pattern", F.when((F.size(cards) > 0) | (F.size(ibans) > 0), _pattern(cards, ibans)).when(own.rlike(SIGNS) & own.rlike(FIND), FIND))
+    finds = finds.withColumn("__pii_finds", F.regexp_extract_all(own, F.col("__pii_pattern"), F.lit(0)))
     finds = finds.withColumn("__pii_new", F.transform("__pii_finds", lambda m: pseudonym(m, key)))
-    between = F.split(own, FIND, -1)
+    between = F.split(own, F.col("__pii_pattern"), -1)
     joined = F.array_join(F.zip_with(between, F.concat(F.col("__pii_new"), F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
     out = finds.withColumn(text, F.when(F.col("__pii_finds").isNull(), own).otherwise(joined))
     if count:
         changed = F.filter(F.zip_with("__pii_finds", "__pii_new", lambda a, b: a != b), lambda x: x)
         out = out.withColumn(count, F.when(F.col("__pii_finds").isNull(), 0).otherwise(F.size(changed)))
-    return out.drop("__pii_finds", "__pii_new")
+    return out.drop("__pii_finds", "__pii_new", "__pii_cards", "__pii_ibans", "__pii_pattern")
 
 
 @query("op1_feistel_pseudonyms")
