@@ -40,6 +40,30 @@ def test_ids_of_any_text(file, texts):
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [whole(t) for t in texts]
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_ids_are_those_of_the_unswitched_tokenizer(spark, documents, file):
+    path = public_tokenizers.path(file)
+    t = Tokenizer.from_file(path)
+    texts = ["<|endoftext|>", "a <|endoftext|> b<|endoftext|>c", "<|startoftext|> x  <|startoftext|>", "<|ENDOFTEXT|> a", "<|endoftext| > a", "H\u0331am T\u0308 J\u030c", "h\u0331am", "plain E\u0301 text", "ΣΑΣ", ""]
+    texts += [a + b for a in ("H", "T", "W", "Y", "A", "J", "I", "Σ", "Ω", " ") for b in ("\u0331", "\u0308", "\u030a", "\u02be", "\u030c", "\u0307", "\u0345\u0301")]
+    want = [t.encode(text, add_special_tokens=False).ids for text in texts]
+    own = tokens.encoder(path)
+    for _ in range(2):
+        for text, ids, ok in zip(texts, own.encode(texts), want, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ok, repr(text)
+    assert 1 < len(texts) and t.token_to_id("<|endoftext|>") in want[1]
+    rows = packing.pieces_of(documents(texts), path, 0, 2048, keep_ids=True).collect()
+    assert {r.doc_id: token_files.unsqueezed([r.ids]).tolist() for r in rows} == {i: [*ok, 0] for i, ok in enumerate(want)}
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sampled_from(FILES), st.lists(st.text(alphabet=st.sampled_from("aHTJÉ \n.'1\u0331\u0308\u030c\u0301") | st.sampled_from(["<|endoftext|>", "<|startoftext|>"]).flatmap(st.sampled_from), max_size=20), max_size=4))
+def test_ids_of_texts_with_marks(file, texts):
+    path = public_tokenizers.path(file)
+    t = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in tokens.encoder(path).encode(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def test_kept_words_are_bounded(monkeypatch):
     monkeypatch.setattr(tokens, "KEPT_WORDS", 50)
     own, whole = tokens.Encoder(public_tokenizers.path(FILES[0])), plain(FILES[0])

@@ -3,8 +3,9 @@
 A byte-pair tokenizer first cuts a text into words and never looks across a
 cut.  Texts repeat their words, so each worker keeps the ids of the words it
 has met and asks the ``tokenizers`` library only for new ones; the ids are those of encoding the whole text.  Where a text is spaced so that
-cutting at blanks could differ from the tokenizer's own cuts, the library
-encodes the whole text.
+cutting at blanks could differ from the tokenizer's own cuts, where it holds
+the string of an added token, or where its letters are not composed as the
+tokenizer composes them, the library encodes the whole text.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ class _BytesAsText(dict):
 
 
 class Encoder:
-    """Ids of texts under one tokenizer file, special strings read as ordinary text.
+    """Ids of texts under one tokenizer file, those of ``Tokenizer.encode(text, add_special_tokens=False)``.
+
+    With ``special_as_text`` the strings of special tokens are read as ordinary
+    text, as the library does with ``encode_special_tokens``.
 
     Two kinds of files are told apart by a trial: those that keep white space,
     where a word carries the blank before it, and those that drop it (and may
@@ -50,13 +54,17 @@ class Encoder:
     #: Runs that the tokenizers never join: letters, digits, other signs; a line end stands alone.
     _RUNS = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+|\n")
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, special_as_text: bool = True) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        strings = [re.escape(t.content) for t in added if not (special_as_text and t.special)]
+        # Added tokens that are looked for in the normalized text are found in either case here.
+        self.added = re.compile("|".join(strings), re.IGNORECASE) if strings else None
         self.keeps_space = len(self.whole("a b")) != len(self.whole("a  b"))
         self.lowers = self.whole("ÀB") == self.whole("àb")
         self.bytes_as_text = _BytesAsText()
@@ -73,10 +81,13 @@ class Encoder:
         """Words whose ids in a row are the text's; None if only the whole text gives them."""
         if any(mark in text for mark in self._MARKS):
             return None
+        if self.added and self.added.search(text):
+            return None
         if not self.keeps_space:
-            if self.lowers and "Σ" not in text:  # whose lower case depends on its place, in Python alone
-                text = text.lower()
-            return text.split()
+            lower = text.lower() if self.lowers and "Σ" not in text else text  # Σ's lower case depends on its place, in Python alone
+            if not text.isascii() and not (unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower)):
+                return None  # the tokenizer composes first, then lower-cases: h and a mark may compose where H and it don't
+            return lower.split()
         doubtful = not text.isascii() or any(pair in text for pair in self._PAIRS) or text[-1] == " "
         if doubtful and self._SPACED.search(text):
             return None
@@ -160,7 +171,7 @@ def encoder(path: str) -> Encoder:
     """The encoder of this worker process: read once, its words kept from task to task."""
     if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, special_as_text=False)
     return _ENCODERS[path]
 
 
