@@ -63,6 +63,21 @@ def test_licence_labels(spark, documents):
     assert licences.scanned(documents([(None, "all rights reserved"), (None, "all rights reserved")])).count() == 2
 
 
+def test_labels_that_differ_by_a_word():
+    scanner = licences.Scanner()
+    wanted = {
+        "Licensed under CC BY 4.0": {"cc-by"}, "Creative Commons Attribution 4.0": {"cc-by"}, "Creative Commons Attribution 4.0 International License": {"cc-by"},
+        "GNU General Public License, version 1": set(), "GNU General Public License, version 2": {"gpl-2.0"}, "the General Public License, version 3": {"gpl-3.0"},
+        "Licensed under CC BY-SA 3.0": {"cc-by-sa"}, "Licensed under CC BY-NC-SA 4.0": {"cc-by-nc-sa"}, "Creative Commons Attribution-NoDerivatives": {"cc-by-nd"},
+        "licensed under a Creative Commons Attribution-NonCommercial License": {"cc-by-nc"}, "Licensed under CC terms": set(), "CC0 1.0": {"cc0"},
+        "Licensed under the Apache License, Version 1.1": set(), "Licensed under the Apache License, Version 2.0": {"apache-2.0"}, "GNU Lesser General Public License": {"lgpl"},
+    }
+    for text, labels in wanted.items():
+        _, _, spans = scanner.scan(f"This work: {text}. End.")
+        assert {s.label for s in spans} - {"gpl"} == labels, (text, spans)
+    assert not any(s.label != "gpl" for s in scanner.scan("GNU General Public License, version 1")[2])
+
+
 def tiled(text, item, shortest):
     """Plain greedy string tiling: compare everywhere, mark the longest, repeat."""
     free_t, free_i, covered = [True] * len(text), [True] * len(item), 0

@@ -4,7 +4,10 @@ The automaton holds every run of words of every template.  A text streams
 through it once and yields matching statistics: at each word the longest run
 ending there that some template has.  Runs that cannot be extended and are long
 enough are chained per template, in the order of both sides and without long
-gaps; the share of the template's words under the best chain is its coverage.
+gaps; the share of the template's words under the best chain is its coverage.  Beside its
+share a chain has to hold the words that tell its template from those of other
+labels, and its numbers; a short template in part gives way to another label's
+that is there as a whole and goes on where it ends.
 
 Base phrases are templates too: the automaton's states tell at each word which
 of them end there.  Words are lower-cased (A to Z alone) runs of digits, ASCII
@@ -50,15 +53,19 @@ TEMPLATES = {
     "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
     "unlicense": ["This is free and unencumbered software released into the public domain"],
-    "cc-by": ["licensed under CC BY", "licensed under a Creative Commons Attribution License"],
+    "cc-by": ["licensed under CC BY", "Creative Commons Attribution", "licensed under a Creative Commons Attribution License"],
     "cc-by-nc": ["licensed under CC BY-NC", "Creative Commons Attribution-NonCommercial"],
     "cc-by-sa": ["licensed under CC BY-SA", "Creative Commons Attribution-ShareAlike"],
     "cc-by-nd": ["licensed under CC BY-ND", "Creative Commons Attribution-NoDerivatives"],
+    "cc-by-nc-sa": ["licensed under CC BY-NC-SA", "Creative Commons Attribution-NonCommercial-ShareAlike"],
+    "cc-by-nc-nd": ["licensed under CC BY-NC-ND", "Creative Commons Attribution-NonCommercial-NoDerivatives"],
     "cc0": ["CC0 1.0 Universal"],
 }
 
 #: Shortest run that counts, most words between chained runs, and least coverage of a template that gives its label.
 SHORTEST, GAP, COVERED = 2, 6, 0.75
+#: Words of a short template.
+SHORT = 8
 _WORD = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c in _WORD or c >= 0x80 else 0x20 for c in range(256))
 
@@ -137,12 +144,24 @@ class Automaton:
             yield at, state, length
 
 
+def needed_places(own: list[bytes], others: list[list[bytes]]) -> int:
+    """Places (as bits) of a template without which it is not told from those of other labels."""
+    places = {i for i, w in enumerate(own) if w.isdigit()}
+    for other in others:
+        apart = [i for i, w in enumerate(own) if w not in other]
+        if len(own) - len(apart) >= COVERED * len(own):  # the other's words would do for this one
+            places |= set(apart or range(len(own)))
+    return sum(1 << i for i in places)
+
+
 class Scanner:
     def __init__(self, base: dict[str, str] = BASE, templates: dict[str, list[str]] = TEMPLATES) -> None:
         self.base = [(words(phrase), label) for phrase, label in base.items()]
         named = [(label, words(text)) for label, texts in templates.items() for text in texts]
         self.labels = [label for _, label in self.base] + [label for label, _ in named]
         self.automaton = Automaton([w for w, _ in self.base] + [w for _, w in named])
+        every = [w for w, _ in self.base] + [w for _, w in named]
+        self.needed = [needed_places(w, [o for o, label in zip(every, self.labels, strict=True) if label != own]) for w, own in zip(every, self.labels, strict=True)]
         a = self.automaton
         #: Of each state, the base phrases that end its runs, with their lengths.
         self.ending = [[(k, len(w)) for k, (w, _) in enumerate(self.base) if (k, len(w) - 1) in ends] for ends in map(self._own_ends, range(len(a.link)))]
@@ -178,22 +197,27 @@ class Scanner:
         out = []
         for k, anchors in by_template.items():
             n = len(self.automaton.templates[k])
-            open_: list[list[int]] = []  # chains: first word, last word, last place in the template, words covered
+            open_: list[list[int]] = []  # chains: first word, last word, last place in the template, words covered, their places as bits
             for at, end, length in anchors:
                 best = None
                 for chain in open_:
                     if 0 < at - chain[1] <= GAP + length and end > chain[2] and (best is None or chain[3] > best[3]):
                         best = chain
-                fresh = [at - length + 1, at, end, length]
+                fresh = [at - length + 1, at, end, length, _bits(end, length)]
                 if best:
                     new = min(length, at - best[1], end - best[2])
-                    joined = [best[0], at, end, best[3] + new]
+                    joined = [best[0], at, end, best[3] + new, best[4] | _bits(end, new)]
                     if joined[3] > fresh[3]:
                         fresh = joined
                 open_ = [c for c in open_ if at - c[1] <= GAP + n] + [fresh]
-                if fresh[3] >= COVERED * n:
+                if fresh[3] >= COVERED * n and fresh[4] & self.needed[k] == self.needed[k]:
                     out.append(Span(self.labels[k], k, fresh[0], fresh[1], fresh[3] / n))
-        return out
+        whole = [t for t in out if t.coverage == 1]
+        return [s for s in out if not (s.coverage < 1 and len(self.automaton.templates[s.template]) <= SHORT and any(t.label != s.label and t.first <= s.last < t.last for t in whole))]
+
+
+def _bits(end: int, n: int) -> int:
+    return ((1 << n) - 1) << (end - n + 1)
 
 
 _SCANNER: list[Scanner] = []
