@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from turnstile.llm.common import release, staged, table
 from turnstile.llm.near_copies import one_of_each
-from turnstile.llm.packing import pack, pieces_of, sequences
+from turnstile.llm.packing import SEQUENCES, pack, pieces_of, sequences
 from turnstile.llm.pseudonyms import pseudonymized
 from turnstile.llm.quality import accepted
 from turnstile.llm.tiling import without_leaks
@@ -48,7 +48,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     pieces = staged(pieces_of(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE_TOKENS, keep_ids=True), "pieces")
-    return sequences(pack(pieces))
+    return sequences(pack(pieces, SEQUENCES))
 
 
 STAGES = [

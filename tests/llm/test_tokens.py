@@ -127,6 +127,11 @@ def test_best_fit_keeps_every_capacity(rule, lengths, documents, attention):
     packed_well(zip(lengths, bins.tolist(), offsets.tolist(), strict=True), capacity)
 
 
+def test_short_pieces_fill_the_sequences_of_the_queries():
+    bins, _ = packing.best_fit(np.ones(4096, dtype=np.int64), packing.SEQUENCES)
+    assert len(set(bins.tolist())) == 2
+
+
 def test_best_fit_is_close_to_the_bound():
     lengths = np.random.default_rng(1).integers(1, 1500, 5000)
     bins, _ = packing.best_fit(lengths, packing.Capacity())

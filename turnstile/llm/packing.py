@@ -40,6 +40,10 @@ class Capacity(NamedTuple):
     rule: str = "norm"  # or "dot"
 
 
+#: Capacity of the queries: as many documents as tokens, so that tokens alone decide how many sequences there are.
+SEQUENCES = Capacity(documents=2048)
+
+
 def cut_lengths(n: int, most: int) -> list[int]:
     """Lengths of the pieces of ``n`` tokens: full ones, the first takes what is left over."""
     rest = n % most
@@ -149,4 +153,4 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     pieces = staged(pieces_of(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 0, 2048), "pieces")
-    return pack(pieces).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return pack(pieces, SEQUENCES).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
