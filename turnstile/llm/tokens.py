@@ -61,10 +61,11 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = special_as_text
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        strings = [re.escape(t.content) for t in added if not (special_as_text and t.special)]
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not (special_as_text and t.special)]
+        self.added = tuple(t.content for t in added if not t.normalized)
         # Added tokens that are looked for in the normalized text are found in either case here.
-        self.added = re.compile("|".join(strings), re.IGNORECASE) if strings else None
+        normalized = [re.escape(t.content) for t in added if t.normalized]
+        self.added_normalized = re.compile("|".join(normalized), re.IGNORECASE) if normalized else None
         self.keeps_space = len(self.whole("a b")) != len(self.whole("a  b"))
         self.lowers = self.whole("ÀB") == self.whole("àb")
         self.bytes_as_text = _BytesAsText()
@@ -81,7 +82,7 @@ class Encoder:
         """Words whose ids in a row are the text's; None if only the whole text gives them."""
         if any(mark in text for mark in self._MARKS):
             return None
-        if self.added and self.added.search(text):
+        if any(string in text for string in self.added) or self.added_normalized and self.added_normalized.search(text):
             return None
         if not self.keeps_space:
             lower = text.lower() if self.lowers and "Σ" not in text else text  # Σ's lower case depends on its place, in Python alone
