@@ -37,7 +37,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,13 +91,14 @@ def later_starts(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> Dat
 
 
 _OUT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string())])
 
 
 def _kept(window: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, n_removed, digests = [], [], []
-            for text, starts in zip(b["text"], b["starts"]):
+            for text, starts in zip(b.column("text").to_pylist(), b.column("starts").to_pylist()):
                 words = [w for w in _DELIMITER.split(text) if w] if text else []
                 cover = np.zeros(len(words) + 1, dtype=np.int64)
                 if starts is not None and len(starts):
@@ -109,7 +110,7 @@ def _kept(window: int):
                 n_removed.append(int(gone.sum()))
                 kept = " ".join(w for w, g in zip(words, gone) if not g)
                 digests.append(hashlib.sha256(kept.encode("utf-8")).hexdigest())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_words": n_words, "n_removed": n_removed, "kept_sha256": digests})
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "n_words": n_words, "n_removed": n_removed, "kept_sha256": digests}, schema=_ARROW)
 
     return run
 
@@ -120,7 +121,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW, base: int = BASE) -> Dat
     starts = later.groupBy("doc_id", "sub").agg(F.collect_list("start").alias("starts"))
     d = document_columns(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("sub"))
     joined = d.join(starts, (d.doc_id.eqNullSafe(starts.doc_id)) & (d.sub == starts.sub), "left").select(d.doc_id, d.text, starts.starts)
-    return joined.mapInPandas(_kept(window), _OUT)
+    return joined.mapInArrow(_kept(window), _OUT)
 
 
 @query("op12_doubling_dedup")
