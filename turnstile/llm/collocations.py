@@ -6,14 +6,18 @@ Texts have A-Z lower-cased (nothing else), are cut into pieces at
 contiguous occurrence of the phrase inside one piece, overlaps included.
 
 Method (Savasere, Omiecinski and Navathe): documents are dealt into shards by
-a hash of their id.  Each shard is mined completely for phrases of one to four
-words, each kept if it is frequent at the support lowered in proportion to the
-shard's share of its language's words (``f_shard * n >= support * n_shard``,
-in integers).  A phrase frequent in the whole language is frequent in at least
-one shard (else its shard counts would sum below the support), so the union of
-locally frequent phrases holds every answer; these candidates alone are then
-counted exactly over all shards.  Shard counts are summed before any shuffle by
-phrase, so a phrase met in every document costs one row per shard.
+a hash of their id and text.  Each shard is mined completely, in its own task,
+for phrases of one to four words, each kept if it is frequent at the support
+lowered in proportion to the shard's share of its language's words
+(``f_shard * n >= support * n_shard``, in integers).  A phrase frequent in the
+whole language is frequent in at least one shard (else its shard counts would
+sum below the support), so the union of locally frequent phrases holds every
+answer.  Phase 2 scans all documents again and counts these candidates alone,
+exactly, by phrase text: occurrences of other phrases are dropped before the
+shuffle, and candidates are summed per task before it.  The candidate set is
+sent to every task only when counted below ``BROADCAST_ROWS``, else joined by
+shuffle.  Shards hold about equal numbers of documents whatever the language,
+so a language with most rows is mined in all tasks.
 
 Scoring: a candidate of 2 to 4 words with ``a = f >= support`` is cut after
 each k of its words; ``l`` and ``r`` are the counts of both parts and the cut
@@ -43,6 +47,8 @@ SUPPORT = 30
 LONGEST = 4
 TOP = 2000
 SCALE = 2_000_000
+#: Rows of a table that is sent whole to every task, at most (a candidate row is a lang and a hash); larger ones are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
 #: Share of ``a`` that a longer candidate must reach to absorb a shorter one, in percent.
 ABSORB = 80
 #: Fixed values of the contract: piece and word delimiters.
@@ -67,36 +73,47 @@ def _grams(words: Column, longest: int) -> Column:
     return F.flatten(F.array(*per_k))
 
 
-def shard_counts(docs: DataFrame, shards: int, longest: int = LONGEST) -> DataFrame:
-    """(shard, lang, phrase, k, f): every phrase of each shard counted completely, summed in the shard's task."""
-    d = document_columns(docs, "doc_id", "text", "lang")
-    d = d.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"),
-        F.coalesce("lang", F.lit("und")).alias("lang"),
-        F.explode(_pieces(F.col("text"))).alias("words"),
+def _grams_of(docs: DataFrame, longest: int, *keep: str) -> DataFrame:
+    """(keep..., lang, words of a piece) exploded into (keep..., lang, phrase)."""
+    pieces = docs.select(*keep, "lang", F.explode(_pieces(F.col("text"))).alias("words"))
+    return pieces.select(*keep, "lang", F.explode(_grams(F.col("words"), longest)).alias("phrase"))
+
+
+def candidates(docs: DataFrame, shards: int, support: int = SUPPORT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
+    """Phase 1: (lang, h) of every phrase frequent in some shard at the lowered support; and n per lang.
+
+    Raw texts are dealt to shards, so each shard is mined in its own task;
+    counts are kept by a 64-bit hash of the phrase, which only makes a
+    collision a further candidate (phase 2 counts by the phrase itself).
+    """
+    d = document_columns(docs, "doc_id", "text", "lang").select(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), F.coalesce("lang", F.lit("und")).alias("lang"), "text"
     )
     d = d.repartition(shards, "shard")
-    g = d.select("shard", "lang", F.explode(_grams(F.col("words"), longest)).alias("phrase"))
+    sizes = d.select("shard", "lang", F.explode(_pieces(F.col("text"))).alias("w")).groupBy("shard", "lang").agg(F.sum(F.size("w")).alias("n_shard"))
+    sizes = staged(sizes.join(sizes.groupBy("lang").agg(F.sum("n_shard").alias("n")), "lang"), "son-sizes")
+    totals = sizes.groupBy("lang").agg(F.first("n").alias("n"))
     # Clustered by shard already: the count runs in the shard's task.
-    return g.groupBy("shard", "lang", "phrase").agg(F.count(F.lit(1)).alias("f")).withColumn("k", F.size(F.split("phrase", " ")))
+    local = _grams_of(d, longest, "shard").groupBy("shard", "lang", F.xxhash64("phrase").alias("h")).count()
+    # One row per shard and lang; rows are counted before they are sent to every task.
+    small = sizes.count() <= BROADCAST_ROWS
+    frequent = local.join(F.broadcast(sizes) if small else sizes, ["shard", "lang"]).where(
+        F.col("count").cast("decimal(38,0)") * F.col("n") >= F.lit(support).cast("decimal(38,0)") * F.col("n_shard")
+    )
+    return staged(frequent.select("lang", "h").distinct(), "son-candidates"), totals
 
 
 def mined(docs: DataFrame, support: int = SUPPORT, longest: int = LONGEST, shards: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Exact counts of all phrases with f >= support per lang, by SON; and the word count n of each lang."""
+    """Exact counts (lang, phrase, k, f) of all phrases with f >= support, by SON; and n per lang."""
     spark = docs.sparkSession
-    local = staged(shard_counts(docs, shards or tasks(spark), longest), "son-shards")
-    words = local.where("k = 1").groupBy("shard", "lang").agg(F.sum("f").alias("n_shard"))
-    totals = words.groupBy("lang").agg(F.sum("n_shard").alias("n"))
-    # Phase 1: locally frequent at the lowered support, compared in integers.
-    lowered = words.join(totals, "lang").select("shard", "lang", "n_shard", "n")
-    frequent = (
-        local.join(lowered, ["shard", "lang"])
-        .where(F.col("f").cast("decimal(38,0)") * F.col("n") >= F.lit(support).cast("decimal(38,0)") * F.col("n_shard"))
-        .select("lang", "phrase")
-        .distinct()
-    )
-    # Phase 2: every candidate counted over all shards.
-    exact = local.join(frequent, ["lang", "phrase"], "left_semi").groupBy("lang", "phrase", "k").agg(F.sum("f").alias("f")).where(F.col("f") >= support)
+    cands, totals = candidates(docs, shards or tasks(spark), support, longest)
+    # Phase 2: every occurrence of a candidate counted over all documents, partial sums before the shuffle.
+    d = document_columns(docs, "text", "lang").select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    grams = _grams_of(d, longest).withColumn("h", F.xxhash64("phrase"))
+    small = cands.count() <= BROADCAST_ROWS
+    hits = grams.join(F.broadcast(cands) if small else cands, ["lang", "h"], "left_semi")
+    exact = hits.groupBy("lang", "phrase").agg(F.count(F.lit(1)).alias("f")).where(F.col("f") >= support)
+    exact = exact.withColumn("k", F.size(F.split("phrase", " ")))
     return staged(exact, "son-exact"), totals
 
 
