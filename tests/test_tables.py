@@ -194,3 +194,35 @@ def test_streaming_ingest_equals_batch(spark, tmp_path, rows_of):
     land("b.csv", [2, 3])
     assert [r[0] for r in run()] == ["1", "2", "3"]
     assert [r[0] for r in run()] == ["1", "2", "3"]
+
+
+def test_keyed_upsert_rewrites_only_files_holding_batch_keys(spark, tmp_path):
+    from turnstile.sources.tables import BUCKET, KEY_BUCKETS, handed_over_within, write_keyed_upsert
+
+    path = str(tmp_path / "keyed")
+    schema = "k string, v long, day date, landed long"
+    import datetime as dt
+
+    rows = [(f"k{i}", i, dt.date(2015, 1, 1) + dt.timedelta(days=i), 1) for i in range(3000)]  # eight years of days
+    with handed_over_within(spark):
+        write_keyed_upsert(spark, path, spark.createDataFrame(rows, schema).schema, spark.createDataFrame(rows, schema), ["k"], [F.col("landed").desc()], "landed", ["day"])
+    folders = [p.name for p in (tmp_path / "keyed").iterdir() if p.name.startswith(BUCKET)]
+    assert 0 < len(folders) <= KEY_BUCKETS
+    files_before = {str(p) for p in (tmp_path / "keyed").rglob("*.parquet")}
+    # A batch of two keys: one newer, one late and older, and one new key.
+    batch = spark.createDataFrame([("k5", 50, dt.date(2015, 1, 6), 2), ("k7", 70, dt.date(2015, 1, 8), 0), ("new", 9, None, 2)], schema)
+    with handed_over_within(spark):
+        write_keyed_upsert(spark, path, batch.schema, batch, ["k"], [F.col("landed").desc()], "landed", ["day"])
+    table = spark.read.parquet(path)
+    got = {r["k"]: r["v"] for r in table.collect()}
+    assert len(got) == table.count() == 3001
+    assert (got["k5"], got["k7"], got["new"]) == (50, 7, 9)
+    files_after = {str(p) for p in (tmp_path / "keyed").rglob("*.parquet")}
+    kept = files_before & files_after
+    touched = {r[0] for r in spark.createDataFrame([("k5",), ("k7",), ("new",)], "k string").select(F.pmod(F.xxhash64("k"), F.lit(KEY_BUCKETS))).collect()}
+    assert all(int(f.split(f"{BUCKET}=")[1].split("/")[0]) in touched for f in files_before - kept)
+    assert len(kept) >= len(files_before) - 2  # at most the files of k5 and k7 were replaced
+    # The same batch again changes nothing.
+    with handed_over_within(spark):
+        write_keyed_upsert(spark, path, batch.schema, batch, ["k"], [F.col("landed").desc()], "landed", ["day"])
+    assert spark.read.parquet(path).count() == 3001

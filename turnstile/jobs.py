@@ -52,6 +52,7 @@ from turnstile.sources.tables import (
     replace_periods,
     replace_table,
     write_absent,
+    write_keyed_upsert,
     write_upsert,
 )
 from turnstile.streaming.ingest import ingest_new_files, landing_stream
@@ -200,8 +201,8 @@ def load_orders(w: Warehouse, folder: str, loaded_at: datetime) -> DataFrame:
     documents = whole_files_only(documents, F.col("broken").isNotNull() | unreadable_amounts(), "event_id")
     lines = order_lines(documents, keep=["landed_at"]).withColumn("created_day", F.to_date("created_at"))
     newest = [F.col(c).desc_nulls_last() for c in ("landed_at", "status_name", "payment_amount", "price_nominal")]
-    write_upsert(
-        w.spark, w.path("online_sales"), ONLINE_TABLE, lines, ["order_hash"], newest, "created_day", "landed_at"
+    write_keyed_upsert(
+        w.spark, w.path("online_sales"), ONLINE_TABLE, lines, ["order_hash"], newest, "landed_at", ["created_day"]
     )
     _keep_rejects(w, faults.select("file_path", F.coalesce("broken", F.to_json(F.struct("id", "payment", "tickets"))).alias("line"), "reason"), loaded_at)
     units = active_cities(w.read("cities", schemas.CITIES))

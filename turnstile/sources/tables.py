@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from turnstile.operators.windows import latest_version
 from turnstile.session import shared_folder
@@ -234,3 +234,72 @@ def write_upsert(
         both = touched.withColumn("__late", F.lit(0)).unionByName(wanted.withColumn("__late", F.lit(1)))
         merged = one_per_key(both, keys, [F.col(version).desc_nulls_last(), F.col("__late").desc()]).drop("__late")
     replace_periods(merged, path, [partition])
+
+
+#: Folders of a keyed table: a key's folder is a hash of the key, so a batch touches at most this many, however many days it spans.
+KEY_BUCKETS = 64
+BUCKET = "key_bucket"
+
+
+def key_bucket(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    found = []
+    for path in paths:
+        files, place = _place(spark, path)
+        if files.exists(place):
+            found.append(path)
+    return found
+
+
+def write_keyed_upsert(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    batch: DataFrame,
+    keys: Sequence[str],
+    newest: Sequence[Column],
+    version: str | None = None,
+    order: Sequence[str] = (),
+) -> None:
+    """Upsert into a table kept in ``KEY_BUCKETS`` folders by a hash of the key, rewriting only the files that hold a batch key.
+
+    The batch (one row per key, as in ``write_upsert``) names its folders; these
+    are read by path, so the table is never listed whole.  Of their files only
+    those holding a key of the batch are found (a semi join on the key columns
+    alone; adaptive execution adds a runtime Bloom filter of the batch keys where
+    the batch is small) and read whole; the merged rows are appended as new
+    files and the files they replace are deleted afterwards.  Untouched files
+    are neither read beyond their keys nor written.  Rows are sorted by
+    ``order`` within the new files, so that filters on it skip row groups.
+
+    A run that fails between the append and the deletes leaves both versions of
+    the touched keys; running the same batch again finds and replaces both.
+    """
+    path = path.rstrip("/")
+    stored_schema = StructType([*schema.fields, StructField(BUCKET, IntegerType(), True)])
+    wanted = hand_over(one_per_key(batch, keys, newest).select(*schema.names).withColumn(BUCKET, key_bucket(keys)), "batch")
+    # At most KEY_BUCKETS rows.
+    buckets = sorted(r[0] for r in wanted.select(BUCKET).distinct().collect())
+    folders = _existing(spark, [f"{path}/{BUCKET}={b}" for b in buckets])
+    old: list[str] = []
+    merged = wanted
+    if folders:
+        stored = spark.read.schema(stored_schema).option("basePath", path).parquet(*folders)
+        hit = stored.select(*keys, F.input_file_name().alias("__file")).join(wanted.select(*keys), list(keys), "left_semi")
+        # One row per file of the touched folders.
+        old = [r[0] for r in hit.select("__file").distinct().collect()]
+    if old:
+        touched = spark.read.schema(stored_schema).option("basePath", path).parquet(*old).select(*stored_schema.names)
+        if version is None:
+            merged = touched.join(wanted.select(*keys), list(keys), "left_anti").unionByName(wanted)
+        else:
+            both = touched.withColumn("__late", F.lit(0)).unionByName(wanted.withColumn("__late", F.lit(1)))
+            merged = one_per_key(both, keys, [F.col(version).desc_nulls_last(), F.col("__late").desc()]).drop("__late")
+    out = merged.select(*stored_schema.names).repartition(BUCKET)
+    out = out.sortWithinPartitions(BUCKET, *order) if order else out
+    out.write.mode("append").partitionBy(BUCKET).parquet(path)
+    for file in old:
+        _delete(spark, file)
