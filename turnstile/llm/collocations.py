@@ -57,26 +57,25 @@ BLANK = "[\\x20\\x09]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _pieces(text: Column) -> Column:
-    """Word arrays of the pieces of a text."""
-    cut = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), PIECE, -1)
-    return F.transform(cut, lambda p: F.filter(F.split(p, BLANK, -1), lambda w: w != F.lit("")))
+def _normal(text: Column) -> Column:
+    """The text with A-Z lower-cased, every piece delimiter turned into LF and every run of blanks into one space."""
+    low = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return F.regexp_replace(F.regexp_replace(low, PIECE, "\n"), BLANK, " ")
 
 
-def _grams(words: Column, longest: int) -> Column:
-    """All phrases of 1 to ``longest`` words of one word array, joined by one space."""
-    n = F.size(words)
-    per_k = [
-        F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.array_join(F.slice(words, i, k), " "))).otherwise(F.array().cast("array<string>"))
-        for k in range(1, longest + 1)
-    ]
-    return F.flatten(F.array(*per_k))
+def _grams(text: Column, longest: int) -> Column:
+    """All phrases of 1 to ``longest`` words of a normalised text, joined by one space.
+
+    One zero-width match at the start of every word, with the phrase captured
+    ahead: overlapping occurrences are all found, in the JVM, without lambdas.
+    """
+    ahead = [F.regexp_extract_all(text, F.lit(f"(?<=^|[ \\n])(?=([^ \\n]+(?: [^ \\n]+){{{k - 1}}}))"), F.lit(1)) for k in range(1, longest + 1)]
+    return F.flatten(F.array(*ahead))
 
 
 def _grams_of(docs: DataFrame, longest: int, *keep: str) -> DataFrame:
-    """(keep..., lang, words of a piece) exploded into (keep..., lang, phrase)."""
-    pieces = docs.select(*keep, "lang", F.explode(_pieces(F.col("text"))).alias("words"))
-    return pieces.select(*keep, "lang", F.explode(_grams(F.col("words"), longest)).alias("phrase"))
+    """(keep..., lang, text) exploded into (keep..., lang, phrase)."""
+    return docs.select(*keep, "lang", F.explode(_grams(_normal(F.col("text")), longest)).alias("phrase"))
 
 
 def candidates(docs: DataFrame, shards: int, support: int = SUPPORT, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +89,8 @@ def candidates(docs: DataFrame, shards: int, support: int = SUPPORT, longest: in
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"), F.coalesce("lang", F.lit("und")).alias("lang"), "text"
     )
     d = d.repartition(shards, "shard")
-    sizes = d.select("shard", "lang", F.explode(_pieces(F.col("text"))).alias("w")).groupBy("shard", "lang").agg(F.sum(F.size("w")).alias("n_shard"))
+    words = F.size(F.regexp_extract_all(_normal(F.col("text")), F.lit("([^ \\n]+)"), F.lit(1)))
+    sizes = d.groupBy("shard", "lang").agg(F.sum(words).alias("n_shard"))
     sizes = staged(sizes.join(sizes.groupBy("lang").agg(F.sum("n_shard").alias("n")), "lang"), "son-sizes")
     totals = sizes.groupBy("lang").agg(F.first("n").alias("n"))
     # Clustered by shard already: the count runs in the shard's task.
