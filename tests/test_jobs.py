@@ -209,3 +209,30 @@ def test_budgets_of_unreadable_dates_are_reported(spark, tmp_path, rows_of):
     rows = [("1", "2gis", "06.10.2025", "x", "Omsk", 5.0), ("2", "2gis", "soon", "x", "Omsk", 7.0), ("3", "2gis", "soon", "x", "Ufa", 1.0)]
     replace_table(spark.createDataFrame(rows, schemas.BUDGETS_WEEK), w.path("budgets"))
     assert rows_of(jobs.budgets_without_date(w)) == [("soon", 2, 8.0)]
+
+
+def test_refresh_by_days_empties_periods_that_lost_all_rows(spark, tmp_path, rows_of):
+    w = warehouse(spark, tmp_path)
+    times = ["15.06.2024 12:00:00", "17.06.2024 12:00:00", "01.07.2024 10:00:00"]
+    csv(tmp_path / "r" / "a.csv", RECEIPT_HEADINGS, *[receipt(t, i, "Билеты", i + 1, f"{i + 1}00.00") for i, t in enumerate(times)])
+    jobs.load_receipts(w, str(tmp_path / "r"), LOADED)
+    jobs.refresh_offline_sales(w)
+    for period in ("week", "month"):
+        jobs.refresh_sales(w, period)
+    weeks = lambda: {(r["year"], r["week"]) for r in w.read("sales").collect()}
+    months = lambda: {(r["year"], r["month"]) for r in w.read("sales_month").collect()}
+    assert {(2024, 24), (2024, 25), (2024, 27)} <= weeks() and {(2024, 6), (2024, 7)} <= months()
+    # All sales of June are cancelled: the offline table loses them, the refresh of those days empties their periods.
+    kept = w.read("offline_sales").where("month(sale_day) <> 6")
+    replace_table(hand_copy(kept, tmp_path), w.path("offline_sales"), ["sale_day"])
+    for period in ("week", "month"):
+        jobs.refresh_sales(w, period, (date(2024, 6, 15), date(2024, 6, 17)))
+    assert not {(2024, 24), (2024, 25)} & weeks() and (2024, 27) in weeks()
+    assert (2024, 6) not in months() and (2024, 7) in months()
+
+
+def hand_copy(df, tmp_path):
+    """The rows written aside first, so that the table they came from can be replaced."""
+    path = str(tmp_path / "aside")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -46,6 +46,7 @@ from turnstile.sources.landed import (
 )
 from turnstile.sources.tables import (
     append_table,
+    delete_folders,
     hand_over,
     handed_over_within,
     read_table,
@@ -231,11 +232,20 @@ def _on(facts: DataFrame, day: str, days: list[date]) -> DataFrame:
 
 
 def _write_periods(rows: DataFrame, path: str, period: str, days: Days | None) -> None:
-    """Replace the table, or only the periods that the days are in. A period that has lost all its rows stays."""
+    """Replace the table, or only the periods that the days are in; a period of these that has lost all its rows is emptied.
+
+    The rows are stored once, as they are written and then asked for their periods.
+    """
     if days is None:
         replace_table(rows, path, ["year", period])
-    else:
+        return
+    with handed_over_within(rows.sparkSession):
+        rows = hand_over(rows, "period-rows")
         replace_periods(rows, path, ["year", period])
+        # At most one row per period that the days are in.
+        written = {(r[0], r[1]) for r in rows.select("year", period).distinct().collect()}
+        covered = {(d.year, d.isocalendar().week if period == "week" else d.month) for d in whole_periods(*days, period)}
+        delete_folders(rows.sparkSession, [f"{path}/year={y}/{period}={p}" for y, p in sorted(covered - written)])
 
 
 def _read_periods(w: Warehouse, table: str, period: str = "week") -> DataFrame:

@@ -81,6 +81,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete the folders (partitions of a table) that exist; absent ones are passed over."""
+    for path in paths:
+        _delete(spark, path)
+
+
 def _moved(spark: SparkSession, source: str, target: str) -> bool:
     files, place = _place(spark, source)
     return files.exists(place) and files.rename(place, _place(spark, target)[1])
