@@ -148,6 +148,25 @@ def test_failed_replace_leaves_the_old_table(spark, tmp_path):
     assert read_table(spark, path).count() == 2 and [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+def test_replace_switches_by_a_pointer_written_last(spark, tmp_path):
+    from turnstile.sources.tables import VERSIONS, current_folder
+
+    path = str(tmp_path / "t")
+    spark.range(4).write.parquet(path)  # a table from before pointers
+    replace_table(spark.range(3), path, [])
+    early = read_table(spark, path)  # resolved now, read later
+    # Rows written but no pointer yet (the writer stopped between the two steps): readers see the old table whole.
+    spark.range(100).write.parquet(f"{path}/v-unfinished")
+    assert read_table(spark, path).count() == 3
+    replace_table(spark.range(5), path)
+    assert read_table(spark, path).count() == 5 and early.count() == 3  # the version before stays for late readers
+    replace_table(spark.range(6), path)
+    names = sorted(p.name for p in (tmp_path / "t").iterdir() if not p.name.startswith("."))
+    assert read_table(spark, path).count() == 6 and len(names) == 3 and VERSIONS in names  # pointers, this version and the one before
+    assert len([p for p in (tmp_path / "t" / VERSIONS).iterdir() if not p.name.startswith(".")]) == 2  # the local file system adds .crc files
+    assert current_folder(spark, path).startswith(path + "/v-")
+
+
 def test_late_row_opens_its_own_partitions_only(spark, tmp_path):
     rows = spark.createDataFrame([(k, k, date(2025, 10, k)) for k in range(1, 29)], "k int, v int, day date")
     replace_periods(rows, str(tmp_path / "t"), ["day"])

@@ -46,6 +46,7 @@ from turnstile.sources.landed import (
 )
 from turnstile.sources.tables import (
     append_table,
+    current_folder,
     delete_folders,
     hand_over,
     handed_over_within,
@@ -245,7 +246,8 @@ def _write_periods(rows: DataFrame, path: str, period: str, days: Days | None) -
         # At most one row per period that the days are in.
         written = {(r[0], r[1]) for r in rows.select("year", period).distinct().collect()}
         covered = {(d.year, d.isocalendar().week if period == "week" else d.month) for d in whole_periods(*days, period)}
-        delete_folders(rows.sparkSession, [f"{path}/year={y}/{period}={p}" for y, p in sorted(covered - written)])
+        folder = current_folder(rows.sparkSession, path)
+        delete_folders(rows.sparkSession, [f"{folder}/year={y}/{period}={p}" for y, p in sorted(covered - written)])
 
 
 def _read_periods(w: Warehouse, table: str, period: str = "week") -> DataFrame:

@@ -6,6 +6,7 @@ giving the same batch twice leaves the same table.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -20,8 +21,26 @@ from turnstile.operators.windows import latest_version
 from turnstile.session import shared_folder
 
 
+#: Sub-folder of a table that holds its pointers: empty files named ``<nanoseconds>.<version folder>``; the newest names the rows.
+VERSIONS = "_versions"
+
+
+def current_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds a table's rows: the version its newest pointer names, or the table's own folder.
+
+    Two small calls on the file system, by the driver.
+    """
+    path = path.rstrip("/")
+    files, place = _place(spark, f"{path}/{VERSIONS}")
+    if not files.exists(place):
+        return path
+    names = sorted(str(s.getPath().getName()) for s in files.listStatus(place))
+    return f"{path}/{names[-1].split('.', 1)[1]}" if names else path
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A stored table or saved view; with a schema, an absent one is empty."""
+    path = current_folder(spark, path)
     if schema is None:
         return spark.read.parquet(path)
     try:
@@ -87,11 +106,6 @@ def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
         _delete(spark, path)
 
 
-def _moved(spark: SparkSession, source: str, target: str) -> bool:
-    files, place = _place(spark, source)
-    return files.exists(place) and files.rename(place, _place(spark, target)[1])
-
-
 def hand_over_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
     """``hand_over`` of independent results side by side, so one's last tasks leave no core idle."""
     with ThreadPoolExecutor(max_workers=max(len(frames), 1)) as pool:
@@ -99,25 +113,37 @@ def hand_over_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    df.write.mode("append").partitionBy(*partition_by).parquet(current_folder(df.sparkSession, path))
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """The new table is complete beside the old one before they change places; a failed write leaves the old one."""
+    """Write the new rows into a version folder of their own, then point the table at it; readers see the old or the new table whole.
+
+    Nothing is renamed (on an object store a rename is a copy): a pointer, an
+    empty file whose name orders it and names the folder, is created when all
+    rows are written.  A failed write leaves the old pointer and deletes its
+    folder.  The version before stays for readers that resolved it just
+    before the switch; older ones and rows of a table that had no pointers yet
+    are deleted afterwards.
+    """
     spark, path = df.sparkSession, path.rstrip("/")
-    new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    before = current_folder(spark, path)
+    folder = f"v-{uuid.uuid4().hex}"
     try:
-        (df.hint("rebalance", *partition_by) if partition_by else df).write.partitionBy(*partition_by).parquet(new)
+        (df.hint("rebalance", *partition_by) if partition_by else df).write.partitionBy(*partition_by).parquet(f"{path}/{folder}")
     except Exception:
-        _delete(spark, new)
+        _delete(spark, f"{path}/{folder}")
         raise
-    held = _moved(spark, path, old)
-    if not _moved(spark, new, path):
-        if held:
-            _moved(spark, old, path)
-        raise OSError(f"{new} could not be moved to {path}")
-    if held:
-        _delete(spark, old)
+    files, pointer = _place(spark, f"{path}/{VERSIONS}/{time.time_ns():020d}.{folder}")
+    files.create(pointer, False).close()
+    kept = {VERSIONS, folder, before.rsplit("/", 1)[1] if before != path else folder}
+    for status in files.listStatus(_place(spark, path)[1]):
+        if str(status.getPath().getName()) not in kept:
+            files.delete(status.getPath(), True)
+    pointers = sorted(files.listStatus(_place(spark, f"{path}/{VERSIONS}")[1]), key=lambda st: str(st.getPath().getName()))
+    for status in pointers:
+        if str(status.getPath().getName()).split(".", 1)[1] not in kept:
+            files.delete(status.getPath(), False)
 
 
 def replace_periods(df: DataFrame, path: str, period: Sequence[str]) -> None:
@@ -131,7 +157,7 @@ def replace_periods(df: DataFrame, path: str, period: Sequence[str]) -> None:
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*period)
-        .parquet(path)
+        .parquet(current_folder(df.sparkSession, path))
     )
 
 
@@ -284,7 +310,7 @@ def write_keyed_upsert(
     A run that fails between the append and the deletes leaves both versions of
     the touched keys; running the same batch again finds and replaces both.
     """
-    path = path.rstrip("/")
+    path = current_folder(spark, path)
     stored_schema = StructType([*schema.fields, StructField(BUCKET, IntegerType(), True)])
     wanted = hand_over(one_per_key(batch, keys, newest).select(*schema.names).withColumn(BUCKET, key_bucket(keys)), "batch")
     # At most KEY_BUCKETS rows.
