@@ -46,6 +46,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -165,6 +166,13 @@ def _blocks(seq: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.
     return end[tails][block] - start, end - start[heads][block]
 
 
+def _equal(ids: np.ndarray, i: np.ndarray, period: np.ndarray) -> np.ndarray:
+    """Whether word i equals word i + period, false where either is outside the text."""
+    n = len(ids)
+    inside = (i >= 0) & (i + period < n)
+    return inside & (ids[np.clip(i, 0, n - 1)] == ids[np.clip(i + period, 0, n - 1)])
+
+
 def runs_of(ids: np.ndarray) -> np.ndarray:
     """Runs as rows (start, length, period), sorted by start then period."""
     n = len(ids)
@@ -177,6 +185,14 @@ def runs_of(ids: np.ndarray) -> np.ndarray:
     j = (np.arange(len(period)) - first) * GRID * period
     same = ids[j] == ids[j + period]
     j, period = j[same], period[same]
+    # A run of period q holds at least max(5, 3q) consecutive places i with word i equal to word i + q, and the grid
+    # place lies among them, so three such places in a row include it: a necessary test that drops chance equalities.
+    equal = {d: _equal(ids, j + d, period) for d in (-2, -1, 1, 2)}
+    equal[0] = np.ones(len(j), dtype=bool)
+    three = np.zeros(len(j), dtype=bool)
+    for first in (-2, -1, 0):
+        three |= equal[first] & equal[first + 1] & equal[first + 2]
+    j, period = j[three], period[three]
     if not len(j):
         return np.zeros((0, 3), dtype=np.int64)
     g = Grammar(ids)
@@ -203,15 +219,17 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = b.column("doc_id").to_pylist()
         for doc_id, text in zip(ids_of, b.column("text").to_pylist()):
             words = planted([w for w in _DELIMITER.split(text) if w] if text else [], doc_id)
-            seen: dict[str, int] = {}
-            ids = np.fromiter((seen.setdefault(w, len(seen)) for w in words), dtype=np.int64, count=len(words))
+            ids = pd.factorize(np.array(words, dtype=object))[0].astype(np.int64) if words else np.zeros(0, dtype=np.int64)
             found = runs_of(ids)
             cover = np.zeros(len(words) + 1, dtype=np.int64)
             np.add.at(cover, found[:, 0] + found[:, 2], 1)
             np.add.at(cover, found[:, 0] + found[:, 1], -1)
-            gone = np.cumsum(cover)[: len(words)] > 0
             runs.append([{"start": int(s), "length": int(ln), "period": int(p)} for s, ln, p in found])
-            collapsed.append(" ".join(w for w, d in zip(words, gone) if not d))
+            if len(found):
+                gone = np.cumsum(cover)[: len(words)] > 0
+                collapsed.append(" ".join(w for w, d in zip(words, gone) if not d))
+            else:
+                collapsed.append(" ".join(words))
         yield pa.RecordBatch.from_pydict({"doc_id": ids_of, "runs": runs, "collapsed": collapsed}, schema=_ARROW)
 
 
