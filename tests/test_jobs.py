@@ -176,6 +176,7 @@ def test_files_are_told_apart_by_path_and_rejects_are_kept(spark, tmp_path, rows
     csv(land / "load=2" / "y.csv", RECEIPT_HEADINGS, receipt("06.10.2025 14:21:58", 2, "Билеты", 4, "1.00"))
     jobs.load_new_receipts(w, str(land), LOADED, "followed").awaitTermination()
     assert w.read("followed").count() == 2, "a corrected file is taken under a new name"
+    assert handed_over(spark) == before, "micro-batches leave no folder"
 
 
 def test_refresh_by_periods_equals_full_refresh_across_a_year_end(spark, tmp_path, rows_of):

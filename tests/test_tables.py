@@ -245,3 +245,32 @@ def test_keyed_upsert_rewrites_only_files_holding_batch_keys(spark, tmp_path):
     with handed_over_within(spark):
         write_keyed_upsert(spark, path, batch.schema, batch, ["k"], [F.col("landed").desc()], "landed", ["day"])
     assert spark.read.parquet(path).count() == 3001
+
+
+def test_runs_in_threads_keep_their_own_staged_folders(spark):
+    """A run that ends deletes only what it handed over itself, not the folders of a run beside it."""
+    import threading
+
+    from turnstile.sources.tables import hand_over, handed_over_within
+
+    first_done, second_ready, counts = threading.Event(), threading.Event(), {}
+
+    def first():
+        second_ready.wait(120)
+        with handed_over_within(spark):
+            counts["first"] = hand_over(spark.range(3), "first").count()
+        first_done.set()
+
+    def second():
+        with handed_over_within(spark):
+            rows = hand_over(spark.range(5), "second")
+            second_ready.set()
+            first_done.wait(120)
+            counts["second"] = rows.count()  # still readable after the first run ended
+
+    threads = [threading.Thread(target=first), threading.Thread(target=second)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(300)
+    assert counts == {"first": 3, "second": 5}

@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -69,23 +70,27 @@ def hand_over(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    _HANDED_OVER.append(path)
+    run = _HANDED_OVER.get()
+    if run is not None:
+        run.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_HANDED_OVER: list[str] = []
+#: The folders handed over within the innermost ``handed_over_within`` of this thread (or task of asyncio); runs side
+#: by side in threads keep their own lists, so one that ends deletes nothing another still reads.
+_HANDED_OVER: ContextVar[list[str] | None] = ContextVar("handed_over", default=None)
 
 
 @contextmanager
 def handed_over_within(spark: SparkSession) -> Iterator[None]:
     """Delete what was handed over within, also after a failure; nothing lazy may go on reading it."""
-    before = len(_HANDED_OVER)
+    paths: list[str] = []
+    token = _HANDED_OVER.set(paths)
     try:
         yield
     finally:
-        paths = _HANDED_OVER[before:]
-        del _HANDED_OVER[before:]
+        _HANDED_OVER.reset(token)
         for path in paths:
             _delete(spark, path)
 

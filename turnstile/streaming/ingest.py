@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from turnstile.sources.landed import Landing, lines_with_place
-from turnstile.sources.tables import write_absent
+from turnstile.sources.tables import handed_over_within, write_absent
 
 
 def ingest_new_files(
@@ -35,11 +35,13 @@ def ingest_new_files(
     """
 
     def write(batch: DataFrame, _batch_id: int) -> None:
-        shaped = shape(batch)
-        rows, rejects = shaped if isinstance(shaped, Landing) else (shaped, None)
-        if reject is not None and rejects is not None:
-            reject(rejects)
-        write_absent(batch.sparkSession, path, schema, rows, keys, first, partition)
+        # What a micro-batch hands over to itself (rejects, headings, the batch) is deleted when it is written.
+        with handed_over_within(batch.sparkSession):
+            shaped = shape(batch)
+            rows, rejects = shaped if isinstance(shaped, Landing) else (shaped, None)
+            if reject is not None and rejects is not None:
+                reject(rejects)
+            write_absent(batch.sparkSession, path, schema, rows, keys, first, partition)
 
     return (
         source.writeStream.option("checkpointLocation", checkpoint)
