@@ -22,7 +22,10 @@ this hierarchy: it climbs a level while both places start equal symbols
 there, moves over equal symbols, and descends where they differ, until words
 differ; backwards alike on ends.  Candidates lie on a harmonic grid: for each
 period q a run of length >= 4q holds both j and j + q for some j in multiples
-of 3q, so words j and j + q must be equal; each such j is extended by one
+of 3q, so words j and j + q must be equal, and since a run has at least
+max(5, 3q) places i with word i equal to word i + q in a row, j lies among
+three of them in a row (a necessary test, so no run is lost); each such j is
+extended by one
 forward and one backward LCE, giving the maximal stretch of period q around
 it.  Stretches of length >= max(6, 4q) are runs once the same stretch is kept
 with its smallest q only (by Fine and Wilf a smaller period of so long a
