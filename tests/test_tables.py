@@ -274,3 +274,17 @@ def test_runs_in_threads_keep_their_own_staged_folders(spark):
     for t in threads:
         t.join(300)
     assert counts == {"first": 3, "second": 5}
+
+
+def test_folders_written_side_by_side_belong_to_the_run(spark):
+    import glob
+
+    from turnstile.session import shared_folder
+    from turnstile.sources.tables import hand_over_all, handed_over_within
+
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/*"))
+    with handed_over_within(spark):
+        a, b = hand_over_all({"side-a": spark.range(2), "side-b": spark.range(4)})
+        assert (a.count(), b.count()) == (2, 4)
+    assert set(glob.glob(f"{folder}/*")) == before, "both folders are deleted with the run"

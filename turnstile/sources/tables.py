@@ -11,7 +11,7 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,8 +113,10 @@ def delete_folders(spark: SparkSession, paths: Sequence[str]) -> None:
 
 def hand_over_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
     """``hand_over`` of independent results side by side, so one's last tasks leave no core idle."""
+    # Each thread writes in a copy of the caller's context, so its folders join the caller's run.
+    calls = [(copy_context(), name, df) for name, df in frames.items()]
     with ThreadPoolExecutor(max_workers=max(len(frames), 1)) as pool:
-        return list(pool.map(lambda item: hand_over(item[1], item[0]), frames.items()))
+        return list(pool.map(lambda call: call[0].run(hand_over, call[2], call[1]), calls))
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
