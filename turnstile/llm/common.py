@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextvars import ContextVar
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,16 +40,24 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    mine = _STAGED.get()
+    if mine is None:
+        mine = []
+        _STAGED.set(mine)
+    mine.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_STAGED: dict[str, list[str]] = {}
+#: Folders staged by this thread (each thread has its own context): a run that releases its folders leaves those of a
+#: run beside it in another thread alone.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the folders staged so far; call it when the results made of them are written."""
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+    """Delete the folders this thread has staged so far; call it when the results made of them are written."""
+    mine = _STAGED.get() or []
+    paths, mine[:] = list(mine), []
+    for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
