@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnstile.llm.common import release, staged, table
 from turnstile.llm.near_copies import one_of_each
@@ -47,8 +48,12 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of tokens: sequence_id, n_tokens, ids and which document lies where."""
     import public_tokenizers
 
-    pieces = staged(pieces_of(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE_TOKENS, keep_ids=True), "pieces")
-    return sequences(pack(pieces, SEQUENCES))
+    # Best fit sees lengths and places alone, so no group carries ids into a Python worker; the ids join their pieces
+    # again by a row key that is written with the staged pieces.
+    pieces = pieces_of(docs, public_tokenizers.path("byte_bpe_50k.json"), END_ID, SEQUENCE_TOKENS, keep_ids=True)
+    pieces = staged(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    placed = pack(pieces.drop("ids"), SEQUENCES)
+    return sequences(placed.join(pieces.select("_row", "ids"), "_row").drop("_row"))
 
 
 STAGES = [
