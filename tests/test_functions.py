@@ -171,3 +171,10 @@ def test_unpivoted_numbers_are_made_in_generated_code(spark, tmp_path):
         for k in settings:
             spark.conf.unset(k)
     assert sorted(map(tuple, got)) == [("1", "a", 1000.5), ("1", "c d", 7.0), ("2", "b", 16359.43)]
+
+
+def test_packed_text_tells_texts_apart(apply):
+    texts = ["ab", "AB", "aB", "", "a", "0ab", "00ab", "01ab", "\x01\xab", "\xab", "zz", "0" * 64, None]
+    packed = apply(texts, "string", keys.packed_text)
+    assert packed[-1] is None and len({bytes(p) for p in packed[:-1]}) == len(texts) - 1
+    assert len(packed[-2]) == 33

@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date, datetime
 from types import SimpleNamespace
 
@@ -11,6 +12,7 @@ from turnstile.constants import RECEIPT_HEADINGS
 from turnstile.plans.answers import daily_answers, latest_answers, new_daily_answers
 from turnstile.schemas import RECEIPTS
 from turnstile.session import shared_folder
+from turnstile.sources import tables
 from turnstile.sources.landed import shape_receipts
 from turnstile.sources.tables import (
     _touched,
@@ -92,6 +94,30 @@ def test_absent_rows_append_replace(spark, tmp_path, rows_of):
     assert read_table(spark, path).count() == 2
 
 
+def test_insert_hands_over_keys_alone(spark, tmp_path, rows_of, monkeypatch):
+    """Rows of the batch are stored nowhere but in the table; repeated keys, null keys and keys of the table are told apart."""
+    path, handed = str(tmp_path / "t"), []
+    monkeypatch.setattr(tables, "hand_over", lambda df, name: handed.append(df.columns) or hand_over(df, name))
+    text = T.StructType([T.StructField("day", T.StringType()), T.StructField("k", T.StringType()), T.StructField("v", T.LongType())])
+    made = {"k": F.when(F.col("day") != "n", F.sha2("day", 256))}
+    digest = {day: hashlib.sha256(day.encode()).hexdigest() for day in "abc"}
+    for days, wanted in (("aabn", [("a", 1), ("b", 3), ("n", 4)]), ("ccban", [("a", 1), ("b", 3), ("c", 1), ("n", 4), ("n", 5)])):
+        rows = [(day, digest.get(day), v) for v, day in enumerate(days, 1)]
+        write_absent(spark, path, text, spark.createDataFrame(rows, text), ["k"], [F.col("v")], "day", made)
+        assert rows_of(read_table(spark, path, text), "day", "k", "v") == sorted(
+            [(day, digest.get(day), v) for day, v in wanted], key=lambda t: [(x is not None, str(x)) for x in t]
+        )
+    assert handed and not any("v" in columns for columns in handed)
+
+
+@pytest.mark.parametrize("few", [0, 1, 500_000])
+def test_first_where_repeated_is_one_per_key(spark, rows_of, monkeypatch, few):
+    monkeypatch.setattr(tables, "FEW_KEYS", few)
+    batch = spark.createDataFrame([("d", 1, 3), ("d", 1, 2), ("d", 2, 5), ("d", None, 9), ("d", None, 8), ("d", 4, 4)], SCHEMA)
+    order = [F.col("v")]
+    assert rows_of(tables.first_where_repeated(batch, ["k"], order)) == rows_of(tables.one_per_key(batch, ["k"], order))
+
+
 def test_replace_periods(spark, tmp_path, rows_of):
     path = str(tmp_path / "t")
     replace_periods(spark.createDataFrame(keyed([(1, 1), (2, 2)]), SCHEMA), path, ["day"])

@@ -20,6 +20,19 @@ def content_key(*parts: Column | str, sep: str = "", null_token: str = "") -> Co
     return F.sha2(joined_text(*parts, sep=sep, null_token=null_token), 256)
 
 
+def packed_text(c: Column | str) -> Column:
+    """The bytes of a text, those of a hex digest at half their length; different texts stay different, null stays null.
+
+    For keys that are moved only to be compared.
+    """
+    text = _col(c).cast("string")
+    digest = F.unhex(text)
+    return F.coalesce(
+        F.when(F.lower(F.hex(digest)) == text, F.concat(F.unhex(F.lit("01")), digest)),
+        F.concat(F.unhex(F.lit("00")), text.cast("binary")),
+    )
+
+
 def receipt_key() -> Column:
     return content_key("sale_date", "kkm", "receipt_name", "itenm_id")
 

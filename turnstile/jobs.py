@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from turnstile import schemas
 from turnstile.constants import MART_CHANNELS, TILL_TO_CITY
+from turnstile.functions.keys import receipt_key
 from turnstile.functions.times import calendar_year, iso_week, loose_date, whole_periods
 from turnstile.operators.quality import ingest_summary, key_uniqueness, values_outside
 from turnstile.plans.answers import daily_answers, new_daily_answers
@@ -123,7 +124,10 @@ def load_receipts(w: Warehouse, folder: str, loaded_at: datetime, table: str = "
     The day of sale is part of the key, so the table is partitioned by it.
     """
     rows, rejects = read_receipts(w.spark, folder, loaded_at)
-    write_absent(w.spark, w.path(table), RECEIPT_TABLE, _with_sale_day(rows), ["hash_256"], _first_receipt(), "sale_day")
+    write_absent(
+        w.spark, w.path(table), RECEIPT_TABLE, _with_sale_day(rows), ["hash_256"], _first_receipt(), "sale_day",
+        {"hash_256": receipt_key()},
+    )
     return _keep_rejects(w, rejects, loaded_at)
 
 

@@ -12,12 +12,14 @@ from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from contextvars import ContextVar, copy_context
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from turnstile.functions.keys import packed_text
 from turnstile.operators.windows import latest_version
 from turnstile.session import shared_folder
 
@@ -26,6 +28,10 @@ from turnstile.session import shared_folder
 VERSIONS = "_versions"
 
 
+#: Compression of rows appended to a table: key digests are hex text, which only an entropy coder shortens.
+STORED = "zstd"
+
+
 def current_folder(spark: SparkSession, path: str) -> str:
     """The folder that holds a table's rows: the version its newest pointer names, or the table's own folder.
 
@@ -120,7 +126,7 @@ def hand_over_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(current_folder(df.sparkSession, path))
+    df.write.mode("append").option("compression", STORED).partitionBy(*partition_by).parquet(current_folder(df.sparkSession, path))
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -173,6 +179,33 @@ def one_per_key(batch: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return latest_version(batch, keys, order)
 
 
+#: Repeated keys up to which the rows without one are left where they are.
+FEW_KEYS = 500_000
+
+
+def first_where_repeated(batch: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """``one_per_key`` of a batch whose keys seldom repeat: only rows of repeated keys are moved and ranked.
+
+    Keys are counted by a 64-bit hash; two keys of one hash only cost their rows
+    the ranking.  A batch of many repeated keys is ranked as a whole.
+    """
+    marked = batch.withColumn("__hash", F.xxhash64(*[F.col(k) for k in keys]))
+    counts = marked.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n"))
+    repeated = hand_over(counts.where("__n > 1").select("__hash"), "repeated-keys")
+    found = repeated.limit(FEW_KEYS + 1).count()
+    if found == 0:
+        return batch
+    if found > FEW_KEYS:
+        return one_per_key(batch, keys, order)
+    ranked = one_per_key(marked.join(repeated, "__hash", "left_semi"), keys, order)
+    return marked.join(repeated, "__hash", "left_anti").unionByName(ranked).drop("__hash")
+
+
+def _packed(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    """Key columns to be compared alone, texts in bytes."""
+    return [(packed_text(k) if df.schema[k].dataType == StringType() else F.col(k)).alias(f"__{k}") for k in keys]
+
+
 def absent_rows(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], first: Sequence[Column]
 ) -> DataFrame:
@@ -230,19 +263,33 @@ def write_absent(
     keys: Sequence[str],
     first: Sequence[Column],
     partition: str | None = None,
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Append what the stored table lacks.
 
     With a ``partition`` column, which a key must determine, the table is
     partitioned by it and only the batch's range of partitions is looked at.
+    Then the batch is read again in every step rather than stored: keys are
+    compared alone, and rows are moved once, the new ones, to their partition.
+    ``derived`` columns follow from the others and are made anew after the move.
     """
     target = read_table(spark, path, schema)
     if partition is None:
         append_table(absent_rows(target, batch, keys, first).select(*schema.names), path)
         return
-    wanted = hand_over(one_per_key(batch, keys, first).select(*schema.names), "batch")
-    new = wanted.join(_touched(target, wanted, partition).select(*keys), list(keys), "left_anti")
-    append_table(new.select(*schema.names).hint("rebalance", partition), path, [partition])
+    rows = batch.select(*schema.names)
+    if not target.isEmpty():
+        held = _touched(target, hand_over(rows.select(partition).distinct(), "batch-partitions"), partition)
+        missing = rows.select(*_packed(rows, keys)).join(held.select(*_packed(held, keys)), [f"__{k}" for k in keys], "left_anti")
+        missing = hand_over(missing.distinct(), "missing-keys")
+        if missing.isEmpty():
+            return
+        rows = rows.select("*", *_packed(rows, keys))
+        same = reduce(lambda a, b: a & b, [rows[f"__{k}"].eqNullSafe(missing[f"__{k}"]) for k in keys])
+        rows = rows.join(missing, same, "left_semi").select(*schema.names)
+    derived = dict(derived or {})
+    new = first_where_repeated(rows, keys, first).drop(*derived).hint("rebalance", partition)
+    append_table(new.withColumns(derived).select(*schema.names) if derived else new, path, [partition])
 
 
 def write_upsert(
