@@ -110,6 +110,21 @@ def test_insert_hands_over_keys_alone(spark, tmp_path, rows_of, monkeypatch):
     assert handed and not any("v" in columns for columns in handed)
 
 
+def test_older_batch_rewrites_nothing(spark, tmp_path, rows_of):
+    """A batch of no newer version leaves every file of a keyed table; a tie or a new key writes."""
+    path, order = str(tmp_path / "t"), [F.col("v").desc_nulls_last()]
+    files = lambda: {p.name for p in (tmp_path / "t").glob("key_bucket=*/*.parquet")}
+    load = lambda rows: tables.write_keyed_upsert(spark, path, SCHEMA, spark.createDataFrame(rows, SCHEMA), ["k"], order, "v")
+    load([("new", 1, 5), ("new", 1, 4), ("new", 2, 6), ("new", 3, None)])
+    first = files()
+    load([("old", 1, 3), ("old", 1, None), ("old", 2, 5)])
+    assert files() == first
+    load([("late", 1, 5), ("old", 2, 5), ("late", 3, None), ("late", 4, 1)])
+    assert first.isdisjoint(files())
+    held = [("late", 1, 5), ("new", 2, 6), ("late", 3, None), ("late", 4, 1)]
+    assert sorted(rows_of(read_table(spark, path, SCHEMA), "k", "day")) == [(k, day) for day, k, _ in held]
+
+
 @pytest.mark.parametrize("few", [0, 1, 500_000])
 def test_first_where_repeated_is_one_per_key(spark, rows_of, monkeypatch, few):
     monkeypatch.setattr(tables, "FEW_KEYS", few)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from turnstile import schemas
 from turnstile.constants import MART_CHANNELS, TILL_TO_CITY
-from turnstile.functions.keys import receipt_key
+from turnstile.functions.keys import order_line_key, receipt_key
 from turnstile.functions.times import calendar_year, iso_week, loose_date, whole_periods
 from turnstile.operators.quality import ingest_summary, key_uniqueness, values_outside
 from turnstile.plans.answers import daily_answers, new_daily_answers
@@ -208,8 +208,9 @@ def load_orders(w: Warehouse, folder: str, loaded_at: datetime) -> DataFrame:
     lines = order_lines(documents, keep=["landed_at"]).withColumn("created_day", F.to_date("created_at"))
     newest = [F.col(c).desc_nulls_last() for c in ("landed_at", "status_name", "payment_amount", "price_nominal")]
     write_keyed_upsert(
-        w.spark, w.path("online_sales"), ONLINE_TABLE, lines, ["order_hash"], newest, "landed_at", ["created_day"]
-    )
+        w.spark, w.path("online_sales"), ONLINE_TABLE, lines, ["order_hash"], newest, "landed_at", ["created_day"],
+        {"order_hash": order_line_key()},
+    )
     _keep_rejects(w, faults.select("file_path", F.coalesce("broken", F.to_json(F.struct("id", "payment", "tickets"))).alias("line"), "reason"), loaded_at)
     units = active_cities(w.read("cities", schemas.CITIES))
     return _settled(ingest_summary(units, "event_id", documents, "event_id", rows_of_order()))

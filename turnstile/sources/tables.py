@@ -28,7 +28,7 @@ from turnstile.session import shared_folder
 VERSIONS = "_versions"
 
 
-#: Compression of rows appended to a table: key digests are hex text, which only an entropy coder shortens.
+#: Compression of rows appended to a table or handed over: key digests are hex text, which only an entropy coder shortens.
 STORED = "zstd"
 
 
@@ -79,7 +79,7 @@ def hand_over(df: DataFrame, name: str) -> DataFrame:
     run = _HANDED_OVER.get()
     if run is not None:
         run.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", STORED).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -349,43 +349,55 @@ def write_keyed_upsert(
     newest: Sequence[Column],
     version: str | None = None,
     order: Sequence[str] = (),
+    derived: Mapping[str, Column] | None = None,
 ) -> None:
     """Upsert into a table kept in ``KEY_BUCKETS`` folders by a hash of the key, rewriting only the files that hold a batch key.
 
     The batch (one row per key, as in ``write_upsert``) names its folders; these
-    are read by path, so the table is never listed whole.  Of their files only
-    those holding a key of the batch are found (a semi join on the key columns
-    alone; adaptive execution adds a runtime Bloom filter of the batch keys where
-    the batch is small) and read whole; the merged rows are appended as new
-    files and the files they replace are deleted afterwards.  Untouched files
-    are neither read beyond their keys nor written.  Rows are sorted by
-    ``order`` within the new files, so that filters on it skip row groups.
+    are read by path, so the table is never listed whole.  Of their files those
+    holding a key of the batch are found by a join of keys and versions alone;
+    a batch of which no row is newer than the stored one ends there.  Else the
+    files are read whole and merged with the batch in one move, by folder, and
+    the merged rows are appended as new files; the files they replace are
+    deleted afterwards.  Untouched files are neither read beyond their keys nor
+    written.  Rows are sorted by ``order`` within the new files, so that filters
+    on it skip row groups.  ``derived`` columns follow from the others and are
+    made anew after the move.  The batch is read again in every step.
 
     A run that fails between the append and the deletes leaves both versions of
     the touched keys; running the same batch again finds and replaces both.
     """
-    path = current_folder(spark, path)
+    path, derived = current_folder(spark, path), dict(derived or {})
     stored_schema = StructType([*schema.fields, StructField(BUCKET, IntegerType(), True)])
-    wanted = hand_over(one_per_key(batch, keys, newest).select(*schema.names).withColumn(BUCKET, key_bucket(keys)), "batch")
+    rows = batch.select(*schema.names).withColumn(BUCKET, key_bucket(keys))
     # At most KEY_BUCKETS rows.
-    buckets = sorted(r[0] for r in wanted.select(BUCKET).distinct().collect())
+    buckets = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
     folders = _existing(spark, [f"{path}/{BUCKET}={b}" for b in buckets])
     old: list[str] = []
-    merged = wanted
     if folders:
         stored = spark.read.schema(stored_schema).option("basePath", path).parquet(*folders)
-        hit = stored.select(*keys, F.input_file_name().alias("__file")).join(wanted.select(*keys), list(keys), "left_semi")
-        # One row per file of the touched folders.
-        old = [r[0] for r in hit.select("__file").distinct().collect()]
+        versions = [F.col(version)] if version else []
+        held = stored.select(*_packed(stored, keys), F.input_file_name().alias("__file"), *[v.alias("__held") for v in versions])
+        mine = rows.select(*_packed(rows, keys), *[v.alias("__new") for v in versions])
+        newer = F.col("__held").isNull() | F.coalesce(F.col("__new") >= F.col("__held"), F.lit(False)) if version else F.lit(True)
+        # One row per file of the touched folders, and one for the new keys.
+        met = mine.join(held, [f"__{k}" for k in keys], "left").groupBy("__file").agg(F.max(newer).alias("newer")).collect()
+        if not any(r["newer"] for r in met):
+            return
+        old = [r["__file"] for r in met if r["__file"] is not None]
+    merged = first_where_repeated(rows, keys, newest)
     if old:
         touched = spark.read.schema(stored_schema).option("basePath", path).parquet(*old).select(*stored_schema.names)
         if version is None:
-            merged = touched.join(wanted.select(*keys), list(keys), "left_anti").unionByName(wanted)
+            merged = touched.join(rows.select(*keys), list(keys), "left_anti").unionByName(merged)
         else:
-            both = touched.withColumn("__late", F.lit(0)).unionByName(wanted.withColumn("__late", F.lit(1)))
-            merged = one_per_key(both, keys, [F.col(version).desc_nulls_last(), F.col("__late").desc()]).drop("__late")
-    out = merged.select(*stored_schema.names).repartition(BUCKET)
+            merged = touched.withColumn("__late", F.lit(0)).unionByName(merged.withColumn("__late", F.lit(1)))
+    out = merged.drop(*derived).repartition(BUCKET)
+    out = out.withColumns(derived) if derived else out
+    if old and version is not None:
+        out = one_per_key(out, [BUCKET, *keys], [F.col(version).desc_nulls_last(), F.col("__late").desc()])
+    out = out.select(*stored_schema.names)
     out = out.sortWithinPartitions(BUCKET, *order) if order else out
-    out.write.mode("append").partitionBy(BUCKET).parquet(path)
+    out.write.mode("append").option("compression", STORED).partitionBy(BUCKET).parquet(path)
     for file in old:
         _delete(spark, file)
