@@ -32,6 +32,14 @@ def test_ids_are_those_of_whole_texts(file):
             assert np.frombuffer(ids, "<u4").tolist() == whole(text), repr(text)
 
 
+def test_words_met_once_are_not_kept():
+    own, whole = tokens.Encoder(public_tokenizers.path(FILES[0])), plain(FILES[0])
+    texts = [" ".join(f"again u{k:05x}{n:05x}" for k in range(50)) for n in range(40)]
+    for text in texts:
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == whole(text)
+    assert any(w.strip("\x00") == "again" for w in own.young) and len(own.young) < 200
+
+
 @pytest.mark.parametrize("file", FILES)
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aAbé ÉΣ  \n\t.,'s1_-\x1ćŵ日"), max_size=30), max_size=4))

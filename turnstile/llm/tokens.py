@@ -2,7 +2,8 @@
 
 A byte-pair tokenizer first cuts a text into words and never looks across a
 cut.  Texts repeat their words, so each worker keeps the ids of the words it
-has met and asks the ``tokenizers`` library only for new ones; the ids are those of encoding the whole text.  Where a text is spaced so that
+has met in two calls and asks the ``tokenizers`` library only for others; most words of a
+corpus come once, and keeping those is what would fill its memory. The ids are those of encoding the whole text.  Where a text is spaced so that
 cutting at blanks could differ from the tokenizer's own cuts, where it holds
 the string of an added token, or where its letters are not composed as the
 tokenizer composes them, the library encodes the whole text.
@@ -18,8 +19,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 #: Words kept per worker process (twice as many at most), and the longest kept: they bound its memory.
-KEPT_WORDS = 800_000
+KEPT_WORDS = 300_000
 LONGEST_KEPT = 40
+#: Marks of words met once (one byte each, by the word's hash): a word is kept when it is met again.
+MARKS = 1 << 22
 #: Texts whose new words are encoded in one call.
 TEXTS_AT_ONCE = 64
 
@@ -71,6 +74,7 @@ class Encoder:
         self.bytes_as_text = _BytesAsText()
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.met = bytearray(MARKS)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -137,10 +141,20 @@ class Encoder:
             return [x for run in runs for x in (run if run.isdecimal() else [run])]
         return runs
 
+    def _keep(self, new: dict[str, bytes]) -> None:
+        """Of the words just met, keep those met before; a mark shared by two words only keeps one more."""
+        met, last, old, young = self.met, MARKS - 1, self.old, self.young
+        for word, ids in new.items():
+            mark = hash(word) & last
+            if not (met[mark] or word in old):
+                met[mark] = 1
+            elif len(word) <= LONGEST_KEPT:
+                young[word] = ids
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers; a null text has none."""
         if len(self.young) > KEPT_WORDS:
-            self.old, self.young = self.young, {}
+            self.old, self.young, self.met = self.young, {}, bytearray(MARKS)
         cut = [self._cut(text) if text else [] for text in texts]
         ids = [list(map(self.young.get, words)) if words else words for words in cut]
         holes = [_holes(found) if found else [] for found in ids]
@@ -148,7 +162,7 @@ class Encoder:
         if missing:
             new = {w: x for w in missing if (x := self.old.get(w)) is not None}
             new |= self._learn(missing.difference(new))
-            self.young.update((w, x) for w, x in new.items() if len(w) <= LONGEST_KEPT)
+            self._keep(new)
             for words, found, own in zip(cut, ids, holes, strict=True):
                 for i in own:
                     found[i] = new[words[i]]
