@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from turnstile.llm import substrings
 
 
@@ -71,3 +73,22 @@ def test_very_long_text(spark):
     got = result(spark, [(7, long)])
     assert got == plain([(7, long)])
     assert got[0][2] == 39_000
+
+
+def test_keys_move_in_few_bytes():
+    # Before, each window moved a key of 16 bytes at every level.
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << substrings.KEY_BITS, 1 << 18).astype(np.uint64))
+    blob = substrings.packed(keys)
+    assert len(blob) < 3.5 * len(keys)
+    assert np.array_equal(substrings.unpacked(blob), keys)
+
+
+def test_passage_of_many_blocks_and_equal_places(spark):
+    passage = " ".join(f"s{k}" for k in range(24))
+    rows = [(i // 2, f"{passage} own{i % 4}") for i in range(60)] + [(None, passage), (None, passage), (-1, f"x {passage}")]
+    df = frame(spark, rows).repartition(7)
+    got = sorted([tuple(r) for r in substrings.deduplicated(df).collect()], key=lambda r: (r[0] is not None, r))
+    assert [r[:3] for r in got[:3]] == [(None, 24, 0), (None, 24, 0), (-1, 25, 24)]
+    assert {r[1] - r[2] for r in got[3:]} <= {0, 1}
+    later = substrings.later_starts(df).collect()
+    assert len({(r.doc_id, r["sub"]) for r in later}) == 61 and {r.start for r in later if r.doc_id == -1} == set(range(1, 6))
