@@ -64,3 +64,16 @@ def test_ties_and_absorption(spark):
     got = collocations.collocations(frame(spark, rows), support=4, top=10).collect()
     assert [(x.rank, x.phrase) for x in sorted(got, key=lambda x: x.rank)] == [(1, "p q r"), (2, "s t"), (3, "u v")]
     assert sorted(tuple(x) for x in got) == plain(rows, 4, 10)
+
+
+def test_counts_move_once_a_shard_and_candidates_reach_every_shard(spark):
+    # Eight shards: seven hold "rare pair" once, so it is frequent in no shard but by its lowered support; one holds it twice.
+    rows = [("rare pair. " + " ".join(f"z{i}x{k}" for k in range(40)), "en") for i in range(7)] + [("rare pair, rare pair", "en")]
+    df = frame(spark, rows).repartition(8)
+    shards = collocations._sharded(df)
+    told, _ = collocations.candidates(shards, support=9)
+    # Before, each phrase was a row of its own: here 8 documents have more than 1,000 phrases.
+    held = sum(len(collocations.unpacked(r["keys"])) for r in told.collect())
+    assert held == 3 * shards.count()  # "rare", "pair" and "rare pair", each told to all shards
+    got = collocations.collocations(df, support=9, top=10)
+    assert sorted(tuple(x) for x in got.collect()) == plain(rows, 9, 10)
