@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from turnstile import schemas
+from turnstile.checks.ingest import order_documents
+from turnstile.checks.registry import Tables
 from turnstile.constants import ANSWER_HEADINGS, RECEIPT_HEADINGS
-from turnstile.functions.keys import content_key
+from turnstile.functions.keys import content_key, order_line_key
 from turnstile.operators.quality import ingest_summary, key_uniqueness, summary_totals
 from turnstile.plans.budgets import monthly_budget_rows, prepared_budgets, weekly_budget_rows
 from turnstile.plans.offline import offline_sales
@@ -235,3 +237,26 @@ def test_broken_lines_are_rejected(spark, tmp_path):
     assert rows.count() == 1
     assert sorted(r["reason"] for r in rejects.collect()) == ["not as many cells as the heading"] * 2 + ["unreadable number", "unreadable time"]
     assert read_receipts(spark, str(tmp_path), LOADED, whole_files=False).rows.count() == 2
+
+
+def test_order_lines_make_an_orders_time_and_text_once(spark, documents):
+    lines = order_lines(documents)
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1, "the time is read once, not in the filter too"
+    top = next(line for line in plan.splitlines() if "sha2(" in line)
+    assert "created_at" not in top[: top.index("AS order_hash")], "the text an order's lines share is made before they are unfolded"
+    assert lines.count() > 0 and lines.where(order_line_key() != F.col("order_hash")).count() == 0
+
+
+def test_order_documents_make_a_lines_texts_once(spark, tmp_path):
+    kinds = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    day = datetime(1995, 3, 4, 5, 6, 7)
+    rows = [(1, 2, 3, 2, 4.0, 10.5, 0.0, "R", "O", day), (1, None, 8, 1, None, None, 0.08, "A", 'a"b', None), (5, 6, 7, 3, 1.0, 2.0, 0.0, "N", None, day)]
+    spark.createDataFrame(rows, kinds).write.parquet(f"{tmp_path}/lineitem.parquet")
+    made = order_documents(Tables(spark, str(tmp_path)))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as decimal(18,2))") == 1 and plan.count("cast(l_shipdate") == 1
+    texts = {r["event"]: json.loads(r["document"]) for r in made.collect()}
+    assert texts[7] == {"id": "5-6-7", "eventSessionId": "3", "created_at": "1995-03-04T05:06:07", "status": {"name": "cancelled"}, "payment": {"amount": "2.00"}}
+    assert texts[8]["tickets"] == [{"id": "1", "ticket_type": {"name": "type 1"}}] and texts[8]["id"] == "1-8"
+    assert [t["price_nominal"] for t in texts[3]["tickets"]] == ["11.50", "12.50"]

@@ -40,30 +40,37 @@ def order_documents(t: Tables) -> DataFrame:
     returned.  The time comes with and without an offset, and in a form that
     must be refused.
     """
-    day = F.col("l_shipdate").cast("string")
+    lines = spread_if_few(t.lineitem)
+    # ``inline`` makes these once a line; in the lambda they would be made once a ticket.
+    texts = F.struct(
+        F.col("l_shipdate").cast("string").alias("day"),
+        money("l_extendedprice").alias("price"),
+        F.col("l_partkey").cast("string").alias("part"),
+        F.col("l_quantity").cast("string").alias("quantity"),
+    )
+    lines = lines.select("*", F.inline(F.array(texts)))
+    day, price = F.col("day"), F.col("price")
     suffix = F.when(F.col("l_tax") == 0.08, "Z").when(F.col("l_linestatus") == "O", "+0300").otherwise("")
-    price = money("l_extendedprice")
     tickets = F.transform(
         F.sequence(F.lit(1), F.col("l_linenumber")),
         lambda i: F.struct(
             i.cast("string").alias("id"),
             (price + i).cast("string").alias("price_nominal"),
             F.struct(
-                F.col("l_partkey").cast("string").alias("id"),
+                F.col("part").alias("id"),
                 F.concat(F.lit("type "), i.cast("string")).alias("name"),
-                F.col("l_quantity").cast("string").alias("price"),
+                F.col("quantity").alias("price"),
             ).alias("ticket_type"),
         ),
     )
     document = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey").alias("id"),
+        F.concat_ws("-", "l_orderkey", "part", "l_suppkey").alias("id"),
         F.col("l_linenumber").cast("string").alias("eventSessionId"),
         F.concat(F.substring(day, 1, 10), F.lit("T"), F.substring(day, 12, 8), suffix).alias("created_at"),
         F.struct(first_status().alias("name"), F.col("l_linestatus").alias("title")).alias("status"),
         F.struct(price.cast("string").alias("amount")).alias("payment"),
         F.when(F.col("l_returnflag") != "N", tickets).alias("tickets"),
     )
-    lines = spread_if_few(t.lineitem)
     return lines.select(F.to_json(document).alias("document"), F.col("l_suppkey").alias("event"))
 
 

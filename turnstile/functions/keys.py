@@ -41,10 +41,14 @@ def answer_key() -> Column:
     return content_key("date", "value", "city")
 
 
-def order_line_key() -> Column:
-    return content_key(
-        "event_id", "order_id", "event_session_id", "created_at", "ticket_id", "ticket_type_id"
-    )
+def order_text() -> Column:
+    """The part of ``order_line_key`` that all lines of an order share."""
+    return joined_text("event_id", "order_id", "event_session_id", "created_at")
+
+
+def order_line_key(order: Column | str | None = None) -> Column:
+    """``order`` is the ``order_text``, where it was made once for all lines of an order."""
+    return content_key(order_text() if order is None else order, "ticket_id", "ticket_type_id")
 
 
 def budget_key(date_column: str) -> Column:
