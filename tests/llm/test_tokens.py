@@ -82,6 +82,22 @@ def test_kept_words_are_bounded(monkeypatch):
     assert len(own.young) <= 50 + 3 * 60
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_letters_between_signs_are_cut_without_the_pattern(file, monkeypatch):
+    own, whole = tokens.Encoder(public_tokenizers.path(file)), plain(file)
+    words = ["wort.", "(wort)", "wort###", "«wort", "_wort_", "wörter!?", "wort\x01.", "wort'.", "'wort", "wo-rt", "wort2.", "...", "wort\n"]
+    texts = [f"{a} {b}{c}" for a in words for b in words for c in ("", " ")]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [whole(x) for x in texts]
+    by_pattern = {word: tokens.Encoder._RUNS.findall(word) for word in ("wort.", "(wort)", "wort###", "_wort_", "wörter!?")}
+
+    class Unused:
+        def findall(self, word):
+            raise AssertionError(f"the pattern was asked for {word}")
+
+    monkeypatch.setattr(tokens.Encoder, "_RUNS", Unused())
+    assert {word: own._runs(word) for word in by_pattern} == by_pattern
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 70_000), max_size=9), min_size=1, max_size=5))
 def test_values_come_back(runs):

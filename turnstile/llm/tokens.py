@@ -12,6 +12,7 @@ tokenizer composes them, the library encodes the whole text.
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 from array import array
 from collections.abc import Iterable, Iterator
@@ -56,6 +57,8 @@ class Encoder:
     _MARKS = "\x1c\x1d\x1e\x1f\x00"
     #: Runs that the tokenizers never join: letters, digits, other signs; a line end stands alone.
     _RUNS = re.compile(r"[^\W\d_]+|\d+|(?:[^\w\s]|_)+|\n")
+    #: Signs that make one run; the apostrophe has rules of its own.
+    _SIGNS = string.punctuation.replace("'", "")
 
     def __init__(self, path: str, special_as_text: bool = True) -> None:
         from tokenizers import Tokenizer
@@ -117,7 +120,8 @@ class Encoder:
             for run in runs:
                 key = run if lead or not keeps_space else "\x00" + run
                 if (ids := found.get(key) or known(key)) is None:
-                    ids = found[key] = array("I", [x.id for x in model(lead + run.translate(table))]).tobytes()
+                    signs = run if run.isascii() and run.isprintable() else run.translate(table)
+                    ids = found[key] = array("I", [x.id for x in model(lead + signs)]).tobytes()
                 out.append(ids)
                 lead = ""
             found[word] = b"".join(out)
@@ -129,6 +133,10 @@ class Encoder:
 
     def _runs(self, bare: str) -> list[str]:
         """The runs of a word; none where contractions, odd numerals or white space make rules of their own."""
+        letters = bare.strip(self._SIGNS)
+        if letters.isalpha():  # most words
+            at = bare.index(letters)
+            return [run for run in (bare[:at], letters, bare[at + len(letters) :]) if run]
         runs = self._RUNS.findall(bare)
         if "'" in bare or "".join(runs) != bare:
             return []
