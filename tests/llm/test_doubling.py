@@ -92,3 +92,13 @@ def test_passage_of_many_blocks_and_equal_places(spark):
     assert {r[1] - r[2] for r in got[3:]} <= {0, 1}
     later = substrings.later_starts(df).collect()
     assert len({(r.doc_id, r["sub"]) for r in later}) == 61 and {r.start for r in later if r.doc_id == -1} == set(range(1, 6))
+
+
+def test_first_level_moves_no_block(spark, monkeypatch):
+    # Before, the blocks were shuffled and sorted at the first level too, though no answers wait for them there.
+    moved = []
+    each = substrings._each
+    monkeypatch.setattr(substrings, "_each", lambda *a, **kw: moved.append(kw.get("schema") or a[3]) or each(*a, **kw))
+    rows = [(i, " ".join(f"m{k}" for k in range(22))) for i in range(6)]
+    assert result(spark, rows) == plain(rows)
+    assert len(moved) == 3 and moved.count(substrings._KEYS) == 1

@@ -21,7 +21,9 @@ group tells it back one bit a key, and the block works its windows out anew
 from the words and the bits.  So a sequence that a third of all documents share
 is one key a block.  Keys have 40 bits below the last level, where two
 sequences of one key only make a further candidate, and 96 bits with the
-block's earliest place (doc_id, sub, start) at the last.
+block's earliest place (doc_id, sub, start) at the last.  At the first level no
+answers wait for a block, so its keys are made where it lies; from the second
+on block and answers are brought together.
 
 Only documents of at least 20 words take part in the levels: a shorter one has
 no window and so neither loses nor causes a removal.
@@ -40,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -322,6 +325,17 @@ def _each(blocks: DataFrame, found: DataFrame, work, schema: str, parts: int, wi
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
 
 
+def _first(blocks: DataFrame, work, schema: str, parts: int, window: int, base: int) -> DataFrame:
+    """``work`` on every block before any answer: where the blocks lie, without moving them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            for row in batch.to_pylist():
+                yield from work(_Block(row, [], parts, window, base)).to_batches()
+
+    return blocks.mapInArrow(run, schema)
+
+
 def _levels(docs: DataFrame, window: int, base: int, work, schema: str) -> DataFrame:
     """``work`` on every block when all levels are told."""
     if window % base or (window // base) & (window // base - 1):
@@ -333,7 +347,8 @@ def _levels(docs: DataFrame, window: int, base: int, work, schema: str) -> DataF
     parts = max(tasks(spark), -(-words // GROUP_WORDS))
     found, level = spark.createDataFrame([], _ANSWER), base
     while level < window:
-        keys = _each(blocks, found, lambda block, level=level: _keys_of(block, level), _KEYS, parts, window, base)
+        each = _first if level == base else partial(_each, found=found)
+        keys = each(blocks, work=lambda block, level=level: _keys_of(block, level), schema=_KEYS, parts=parts, window=window, base=base)
         told = staged(keys.groupBy("part").applyInArrow(_repeated(level), _ANSWER), f"doubling-{level}")
         found, level = found.unionAll(told), 2 * level
     places = _each(blocks, found, _places_of, _PLACES, parts, window, base)
