@@ -118,6 +118,28 @@ def test_one_of_each(spark, documents, prose):
     assert near_copies.linked(documents([])).count() == 0
 
 
+def test_settled_components_take_no_further_round(spark, monkeypatch):
+    # Before, a star was found settled only after a whole round more: five staged results before the roots.
+    made = []
+    staged = graph.staged
+    monkeypatch.setattr(graph, "staged", lambda df, label: made.append(label) or staged(df, label))
+    edges = spark.createDataFrame([(k, 1) for k in range(2, 30)] * 2 + [(41, 40)], "a long, b long")
+    assert {r.node: r.root for r in graph.components(edges).collect()} == {**{k: 1 for k in range(1, 30)}, 40: 40, 41: 40}
+    assert made == ["edges", "components"]
+
+
+def test_pairs_met_before_are_not_compared_again(monkeypatch):
+    # Before, the shingles of a cell were compared even if all its pairs had met under an earlier value.
+    shingles = np.arange(50, dtype=np.uint64)
+    rows = [{"set_id": i, "block": 0, "left": 0, "right": 0, "band": 1, "bands": np.array([7 if i < 3 else i, 9]), "shingles": shingles[i:].tobytes()} for i in range(4)]
+    compared = []
+    similar = near_copies._similar_pairs
+    monkeypatch.setattr(near_copies, "_similar_pairs", lambda sets, similarity: compared.append(len(sets)) or similar(sets, similarity))
+    assert near_copies.compare_blocks(pd.DataFrame(rows[:3]), 0.8).empty and not compared
+    got = near_copies.compare_blocks(pd.DataFrame(rows), 0.8)
+    assert sorted(zip(got["a"], got["b"], got["links"])) == [(0, 0, 1), (1, 0, 1), (2, 0, 1), (3, 0, 3)] and compared == [4]
+
+
 def test_bands_reach_the_recall():
     for rows in (3, 7):
         bands = near_copies.bands_for(0.8, 0.999, rows)

@@ -92,16 +92,17 @@ def sketched(docs: DataFrame, bands: Bands) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """set_id and shingles (8 bytes each) of the classes in ``wanted``, made anew from one text of each."""
+    """set_id, crowds, bands and shingles (8 bytes each) of the classes in ``wanted``, made anew from one text of each."""
 
     def work(batches):
         for batch in slices(batches):
             found = [shingles(text, SHINGLE).tobytes() for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(found, pa.binary())], ["set_id", "shingles"])
+            kept = [batch.column(c) for c in ("set_id", "crowds", "bands")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(found, pa.binary())], ["set_id", "crowds", "bands", "shingles"])
 
     texts = document_columns(docs, "doc_id", "text").select(row_key().alias("row_key"), "text")
     picked = texts.join(wanted, "row_key").dropDuplicates(["row_key"])
-    return picked.select("set_id", "text").mapInArrow(work, "set_id long, shingles binary")
+    return picked.select("set_id", "crowds", "bands", "text").mapInArrow(work, "set_id long, crowds array<long>, bands array<long>, shingles binary")
 
 
 def _similar_pairs(sets: list[np.ndarray], similarity: float) -> np.ndarray:
@@ -135,13 +136,18 @@ def compare_blocks(rows: pd.DataFrame, similarity: float) -> pd.DataFrame:
     rows = rows.drop_duplicates("set_id").sort_values("set_id")
     ids, block, band = rows["set_id"].to_numpy(), rows["block"].to_numpy(), int(rows["band"].iloc[0])
     bands = np.stack(rows["bands"].to_list())
-    counted = ~(bands[:, None, :band] == bands[None, :, :band]).any(axis=2) if band else np.ones((len(ids), len(ids)), dtype=bool)
+    counted = np.ones((len(ids), len(ids)), dtype=bool)
+    for own in bands[:, :band].T:
+        counted &= own[:, None] != own[None, :]
     if rows["left"].iloc[0] != rows["right"].iloc[0]:
         counted &= block[:, None] != block[None, :]
     np.fill_diagonal(counted, False)
-    counted &= _similar_pairs([np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"]], similarity)
+    open_ = np.flatnonzero(counted.any(axis=1))  # pairs met under an earlier value need no comparing again
+    ids, counted = ids[open_], counted[np.ix_(open_, open_)]
+    if len(ids):
+        counted &= _similar_pairs([np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"].iloc[open_]], similarity)
     label = np.arange(len(ids))
-    while True:  # smallest label over links, until nothing changes
+    while len(ids):  # smallest label over links, until nothing changes
         lower = np.minimum(label, np.where(counted, label[None, :], len(ids)).min(axis=1))
         lower = lower[lower]
         if (lower == label).all():
@@ -159,12 +165,11 @@ def classified(docs: DataFrame, similarity: float = SIMILARITY, recall: float =
     met = classes.select("set_id", F.posexplode("bands").alias("band", "value"))
     shared = met.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(met.join(shared, "value"), "members")
-    wanted = members.select("set_id").distinct().join(classes, "set_id")
-    crowds = members.where(F.col("n") > FEW).groupBy("set_id").agg(F.collect_set("value").alias("crowds"))  # at most one per band
-    sets = _sets(docs, wanted.select("set_id", "row_key")).join(classes.select("set_id", "bands"), "set_id").join(crowds, "set_id", "left")
+    wanted = members.groupBy("set_id").agg(F.collect_set(F.when(F.col("n") > FEW, F.col("value"))).alias("crowds"))  # at most one per band
     # Values that are no crowd's become unlike any other's, so that only crowds are compared between bands.
     crowded_bands = F.transform("bands", lambda x, i: F.when(F.array_contains("crowds", x), x).otherwise(F.xxhash64("set_id", i)))
-    sets = staged(sets.select("set_id", "shingles", F.coalesce("crowds", F.array().cast("array<long>")).alias("crowds"), F.when(F.col("crowds").isNotNull(), crowded_bands).alias("bands")), "sets")
+    wanted = wanted.join(classes, "set_id").select("set_id", "row_key", "crowds", F.when(F.size("crowds") > 0, crowded_bands).alias("bands"))
+    sets = staged(_sets(docs, wanted), "sets")
 
     # Few under one value: outright pairs, each once, unless the pair also meets in a crowd.
     few = members.where(F.col("n") <= FEW).groupBy("value").agg(F.collect_set("set_id").alias("s"))
