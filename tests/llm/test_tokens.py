@@ -98,6 +98,16 @@ def test_letters_between_signs_are_cut_without_the_pattern(file, monkeypatch):
     assert {word: own._runs(word) for word in by_pattern} == by_pattern
 
 
+def test_lower_case_ascii_words_are_not_normalized_again(monkeypatch):
+    # Before, each new word of a lower-cased text was lower-cased again, and one between signs became a list of runs first.
+    own, whole = tokens.Encoder(public_tokenizers.path(FILES[0])), plain(FILES[0])
+    text = "wort (wort) wort, --wort!! Wort2 a'b x.y 12 ... wortwort(wort)"
+    asked = []
+    monkeypatch.setattr(tokens.Encoder, "_plain", lambda self, word: asked.append(word) or word == word.lower())
+    assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == whole(text)
+    assert set(asked) == {"12", "..."}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 70_000), max_size=9), min_size=1, max_size=5))
 def test_values_come_back(runs):

@@ -107,17 +107,25 @@ class Encoder:
         """Ids of new words: of plain runs from the library's model, else of the whole word."""
         found: dict[str, bytes] = {}
         model, table, known = self.tokenizer.model.tokenize, self.bytes_as_text, self.young.get
-        blank, keeps_space = table[32] if self.keeps_space else "", self.keeps_space
+        blank, keeps_space, signs_alone = table[32] if self.keeps_space else "", self.keeps_space, self._SIGNS
         for word in words:
-            if word.isalpha() and (keeps_space or self._plain(word)):
-                signs = word if word.isascii() else word.translate(table)
+            ascii_ = word.isascii()
+            plain = keeps_space or ascii_ and word.islower() or self._plain(word)
+            if plain and word.isalpha():
+                signs = word if ascii_ else word.translate(table)
                 found[word] = array("I", [x.id for x in model(blank + signs)]).tobytes()
                 continue
             bare = word.removeprefix("\x00")
             lead = blank if bare is word else ""
-            runs = self._runs(bare) if keeps_space or self._plain(bare) else []
+            if plain and not keeps_space and (letters := word.strip(signs_alone)).isalpha():  # most others: letters between signs
+                before, after = word.split(letters)
+                runs = (before, letters, after)
+            else:
+                runs = self._runs(bare) if plain else ()
             out = [] if runs else [self._packed((" " if lead else "") + bare)]
             for run in runs:
+                if not run:
+                    continue
                 key = run if lead or not keeps_space else "\x00" + run
                 if (ids := found.get(key) or known(key)) is None:
                     signs = run if run.isascii() and run.isprintable() else run.translate(table)
